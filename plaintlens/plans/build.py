@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,56 +38,73 @@ class Settings:
     intake_artifact_end: str = D.INTAKE_ARTIFACT_END
 
 
-@dataclass(frozen=True)
 class Models:
-    """Every model of the graph, lazily defined."""
+    """The model graph as lazy DataFrames; a model is defined when first asked for.
 
-    complaints: DataFrame
-    banks: DataFrame
-    crosswalk: DataFrame
-    resolved: DataFrame
-    fact: DataFrame
-    companies: DataFrame
-    holders: DataFrame
-    bank_dim: DataFrame
-    dates: DataFrame
-    bank_metrics: DataFrame
-    monthly: DataFrame
-
-
-def define(spark: SparkSession, inputs: Inputs, settings: Settings = Settings()) -> Models:
-    """All models as lazy DataFrames over the inputs; nothing runs."""
-    complaints = facts.clean_complaints(
-        inputs.complaints, inputs.product_map, inputs.subproduct_map, inputs.issue_map, settings.full_years
-    )
-    crosswalk = facts.clean_crosswalk(inputs.crosswalk)
-    resolved = resolve_entities(complaints, crosswalk)
-    fact = facts.build_fact(resolved, settings.dispute_era, settings.narrative_era)
-    return from_fact(spark, inputs, settings, complaints, crosswalk, resolved, fact)
-
-
-def from_fact(
-    spark: SparkSession, inputs: Inputs, settings: Settings, complaints: DataFrame, crosswalk: DataFrame,
-    resolved: DataFrame, fact: DataFrame,
-) -> Models:
-    """The models downstream of a fact, stored or lazy."""
-    banks = facts.clean_banks(inputs.banks)
-    holders = holder_rollup(banks)
-    companies = dims.entity_dim(crosswalk, fact)
-    bank_dim = dims.bank_dim(companies, holders)
-    return Models(
-        complaints=complaints,
-        banks=banks,
-        crosswalk=crosswalk,
-        resolved=resolved,
-        fact=fact,
-        companies=companies,
-        holders=holders,
-        bank_dim=bank_dim,
-        dates=dims.date_dim(dims.date_spine(spark, *settings.date_range)),
-        bank_metrics=marts.entity_metrics(fact, bank_dim),
-        monthly=marts.component_mart(fact, bank_dim),
-    )
+    Any model can be given, for example a stored one; everything downstream then starts from it.
+    """
+
+    def __init__(self, spark: SparkSession, inputs: Inputs, settings: Settings = Settings(), **given: DataFrame):
+        self.spark = spark
+        self.inputs = inputs
+        self.settings = settings
+        self.__dict__.update(given)
+
+    @cached_property
+    def complaints(self) -> DataFrame:
+        raw = self.inputs
+        return facts.clean_complaints(
+            raw.complaints, raw.product_map, raw.subproduct_map, raw.issue_map, self.settings.full_years
+        )
+
+    @cached_property
+    def banks(self) -> DataFrame:
+        return facts.clean_banks(self.inputs.banks)
+
+    @cached_property
+    def crosswalk(self) -> DataFrame:
+        return facts.clean_crosswalk(self.inputs.crosswalk)
+
+    @cached_property
+    def resolved(self) -> DataFrame:
+        return resolve_entities(self.complaints, self.crosswalk)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return facts.build_fact(self.resolved, self.settings.dispute_era, self.settings.narrative_era)
+
+    @cached_property
+    def companies(self) -> DataFrame:
+        return dims.entity_dim(self.crosswalk, self.fact)
+
+    @cached_property
+    def holders(self) -> DataFrame:
+        return holder_rollup(self.banks)
+
+    @cached_property
+    def bank_dim(self) -> DataFrame:
+        return dims.bank_dim(self.companies, self.holders)
+
+    @cached_property
+    def dates(self) -> DataFrame:
+        return dims.date_dim(dims.date_spine(self.spark, *self.settings.date_range))
+
+    @cached_property
+    def bank_metrics(self) -> DataFrame:
+        return marts.entity_metrics(self.fact, self.bank_dim)
+
+    @cached_property
+    def monthly(self) -> DataFrame:
+        return marts.component_mart(self.fact, self.bank_dim)
+
+    @cached_property
+    def universe_fact(self) -> DataFrame:
+        """Complaints of banks that have assets, the rows both bank marts are built from."""
+        universe = self.bank_dim.where(F.col("total_assets_usd").isNotNull()).select("company_sk")
+        return self.fact.join(universe, "company_sk", "left_semi")
+
+
+STORED = ["companies", "bank_dim", "dates", "bank_metrics", "monthly"]
 
 
 def store(spark: SparkSession, inputs: Inputs, path: str, settings: Settings = Settings()) -> Models:
@@ -95,31 +113,18 @@ def store(spark: SparkSession, inputs: Inputs, path: str, settings: Settings = S
     The fact is written once, by month, and everything downstream reads the stored copy, so no
     later model repeats or depends on the cleaning of the raw feed.
     """
-    models = define(spark, inputs, settings)
-    fact = models.fact.withColumn("month_start", F.trunc("date_received", "month"))
-    stored_fact = save(fact, f"{path}/fact", "overwrite", ["month_start"]).drop("month_start")
-    models = from_fact(
-        spark, inputs, settings, models.complaints, models.crosswalk, models.resolved, stored_fact
-    )
-    companies = save(models.companies, f"{path}/companies", "overwrite")
-    bank_dim = save(dims.bank_dim(companies, models.holders), f"{path}/bank_dim", "overwrite")
-    return replace(
-        models,
-        companies=companies,
-        bank_dim=bank_dim,
-        dates=save(models.dates, f"{path}/dates", "overwrite"),
-        bank_metrics=save(marts.entity_metrics(stored_fact, bank_dim), f"{path}/bank_metrics", "overwrite"),
-        monthly=save(marts.component_mart(stored_fact, bank_dim), f"{path}/monthly", "overwrite"),
-    )
-
-
-def model_checks(models: Models, settings: Settings = Settings(), coverage_floor: float = 74.0) -> list[Q.Check]:
+    fact = Models(spark, inputs, settings).fact.withColumn("month_start", F.trunc("date_received", "month"))
+    done = {"fact": save(fact, f"{path}/fact", "overwrite", ["month_start"]).drop("month_start")}
+    for name in STORED:
+        model = getattr(Models(spark, inputs, settings, **done), name)
+        done[name] = save(model, f"{path}/{name}", "overwrite")
+    return Models(spark, inputs, settings, **done)
+
+
+def model_checks(models: Models, coverage_floor: float = 74.0) -> list[Q.Check]:
     """The invariants that hold between the models."""
     pairs = [("disputed_count", "complaint_count_dispute_era"),
              ("narrative_count", "complaint_count_narrative_era")]
-    in_universe = models.fact.join(
-        models.bank_dim.where(F.col("total_assets_usd").isNotNull()).select("company_sk"), "company_sk", "left_semi"
-    )
     return [
         Q.Check("complaint_id_not_null", Q.not_null(models.complaints, "complaint_id")),
         Q.Check("complaint_id_unique", Q.unique(models.complaints, ["complaint_id"])),
@@ -131,7 +136,7 @@ def model_checks(models: Models, settings: Settings = Settings(), coverage_floor
         Q.Check("bank_tier_accepted",
                 Q.accepted(models.bank_dim, "bank_size_bucket", D.ASSET_LABELS, "fdic_top_holder is not null")),
         Q.Check("dates_ordered", Q.ordered(models.complaints, "date_received", "date_sent_to_company",
-                                           after=settings.intake_artifact_end)),
+                                           after=models.settings.intake_artifact_end)),
         Q.Check("crosswalk_coverage", Q.coverage(models.resolved, "is_crosswalked", coverage_floor)),
         Q.Check("dispute_era_nulls", Q.null_outside_era(models.fact, "consumer_disputed", "is_dispute_era"), "warn"),
         Q.Check("resolution_keeps_rows", Q.same_count(models.complaints, models.resolved, "staging_n", "int_n")),
@@ -139,7 +144,7 @@ def model_checks(models: Models, settings: Settings = Settings(), coverage_floor
                 Q.in_range(models.bank_metrics, ["timely_response_rate", "dispute_rate"], 0, 1)),
         Q.Check("monthly_era_coherence", Q.coherent(models.monthly, pairs)),
         Q.Check("monthly_matches_fact",
-                Q.same_total(models.monthly, F.sum("complaint_count"), in_universe, F.count("*"),
+                Q.same_total(models.monthly, F.sum("complaint_count"), models.universe_fact, F.count("*"),
                              "monthly_n", "fct_n")),
         Q.Check("monthly_grain", Q.unique(models.monthly, ["canonical_name", "month_start", "product_category"])),
         Q.Check("one_current_parent", Q.unique(

@@ -9,11 +9,13 @@ of all complaints share one key.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plaintlens.functions.flags import Era
-from plaintlens.plans.build import Inputs, Models, Settings, define
+from plaintlens.plans.build import Models, Settings
 from plaintlens.sources import schemas
 from plaintlens.sources.tables import inline_rows
 
@@ -35,7 +37,7 @@ COMPLAINT_COLUMNS = {
     "date_received": "cast(o_orderdate as date)",
     "date_sent_to_company": """
         case when o_orderkey % 97 <> 5
-             then date_add(cast(o_orderdate as date), cast(o_orderkey % 22 - 1 as int)) end""",
+             then cast(o_orderdate as date) + cast(o_orderkey % 22 - 1 as int) end""",
     "product": """
         concat(' ', case
             when o_orderpriority = '1-URGENT' then if(o_orderstatus = 'O', 'Student loan', 'Mortgage')
@@ -234,16 +236,37 @@ def issue_map(spark: SparkSession) -> DataFrame:
     return inline_rows(spark, schemas.ISSUE_MAP, ISSUE_MAP)
 
 
-def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    return Inputs(
-        complaints=raw_complaints(spark, sf_dir),
-        banks=raw_banks(spark, sf_dir),
-        crosswalk=raw_crosswalk(spark, sf_dir),
-        product_map=product_map(spark),
-        subproduct_map=subproduct_map(spark),
-        issue_map=issue_map(spark),
-    )
+class GivenInputs:
+    """Inputs of the model graph, each read when first needed."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+
+    @cached_property
+    def complaints(self) -> DataFrame:
+        return raw_complaints(self.spark, self.sf_dir)
+
+    @cached_property
+    def banks(self) -> DataFrame:
+        return raw_banks(self.spark, self.sf_dir)
+
+    @cached_property
+    def crosswalk(self) -> DataFrame:
+        return raw_crosswalk(self.spark, self.sf_dir)
+
+    @cached_property
+    def product_map(self) -> DataFrame:
+        return product_map(self.spark)
+
+    @cached_property
+    def subproduct_map(self) -> DataFrame:
+        return subproduct_map(self.spark)
+
+    @cached_property
+    def issue_map(self) -> DataFrame:
+        return issue_map(self.spark)
 
 
 def models(spark: SparkSession, sf_dir: str) -> Models:
-    return define(spark, inputs(spark, sf_dir), SETTINGS)
+    return Models(spark, GivenInputs(spark, sf_dir), SETTINGS)

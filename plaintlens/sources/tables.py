@@ -33,12 +33,9 @@ def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def inline_rows(spark: SparkSession, schema: str, rows: Sequence[Sequence]) -> DataFrame:
     """Literal rows as a table whose size Catalyst knows, so lookups on it broadcast by themselves."""
-    fields = [field.strip().split(" ", 1) for field in schema.split(",")]
-    row_structs = [
-        F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, fields, strict=True)])
-        for row in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*row_structs)))
+    names = [field.split()[0] for field in schema.split(",")]
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names, strict=True)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs).cast(f"array<struct<{schema}>>")))
 
 
 def materialize_lean(df: DataFrame, drop: Sequence[str], presence_flags: Mapping[str, str]) -> DataFrame:
