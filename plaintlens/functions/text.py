@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 # Unicode White_Space, so that trimming does not stop at U+0020 as Spark's one-argument trim does.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    " \t\n\x0b\x0c\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
 SPACE_RUN = r"[\t\n\f\r ]+"
 FIVE_DIGITS = r"^[0-9]{5}\z"
+# an integer, perhaps followed by a dangling dash and then by ".0"; anything else has no number,
+# so the cast below never meets text it would have to fail on
+ZIP_NUMBER = r"^[+-]?[0-9]+(?=-?(\.0)?\z)"
 
 
 def trim(c: Column) -> Column:
@@ -22,20 +25,20 @@ def trim(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-def collapse(c: Column) -> Column:
-    """Trim and squeeze inner whitespace runs to one space."""
-    return F.regexp_replace(trim(c), SPACE_RUN, " ")
+def squeeze(c: Column) -> Column:
+    """Turn whitespace runs into one space."""
+    return F.regexp_replace(c, SPACE_RUN, " ")
 
 
 def normalize_name(c: Column, punct: str = ".,;") -> Column:
     """Upper-case, squeeze whitespace, then strip trailing punctuation."""
-    return F.rtrim(collapse(F.upper(c)), F.lit(punct))
+    return F.rtrim(squeeze(F.upper(trim(c))), F.lit(punct))
 
 
 def clean_code(c: Column, aliases: Mapping[str, str], max_len: int, missing: str) -> Column:
     """Upper-cased short code; long forms go through `aliases`, other long values become `missing`."""
     code = F.upper(trim(c))
-    out = F.when(c.isNull(), missing)
+    out = F.when(code.isNull(), missing)
     for long_form, short in aliases.items():
         out = out.when(code == long_form, short)
     return out.when(F.length(code) > max_len, missing).otherwise(code)
@@ -48,7 +51,7 @@ def clean_zip(c: Column, keep_privacy_prefix: bool = False) -> Column:
     `keep_privacy_prefix` keeps integers 1-999 as three digits instead.
     """
     raw = trim(c)
-    number = F.regexp_replace(F.regexp_replace(raw, r"\.0\z", ""), r"-\z", "").try_cast("bigint")
+    number = F.regexp_substr(raw, F.lit(ZIP_NUMBER)).try_cast("bigint")
     digits = number.cast("string")
     padded = F.lpad(digits, 5, "0")
     if keep_privacy_prefix:
@@ -82,7 +85,7 @@ def relabel(c: Column, labels: Mapping[str, str], missing: str) -> Column:
 def display_name(c: Column, replacements: Sequence[tuple[str, str]], drop_suffix: str = "") -> Column:
     """Readable holder name: ordered literal replacements on the squeezed upper-case name."""
     name = reduce(lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), replacements,
-                  collapse(F.upper(c)))
+                  squeeze(F.upper(trim(c))))
     if not drop_suffix:
         return name
     return F.when(name.endswith(drop_suffix), F.left(name, F.length(name) - len(drop_suffix))).otherwise(name)

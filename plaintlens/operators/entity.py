@@ -35,10 +35,10 @@ def resolve_entities(
         F.col("parent_as_of").alias("company_parent_as_of"),
         surrogate_key(F.col("canonical_name")).alias("company_sk"),
     )
-    return (
-        df.join(known, df[name] == known["__name"], "left")
-        .withColumn("is_crosswalked", F.col("__name").isNotNull())
-        .drop("__name")
+    return df.join(known, F.col(name) == F.col("__name"), "left").select(
+        *df.columns,
+        *[c for c in known.columns if c != "__name"],
+        F.col("__name").isNotNull().alias("is_crosswalked"),
     )
 
 

@@ -12,7 +12,7 @@ from plaintlens.functions import flags, text
 from plaintlens.functions.flags import Era
 from plaintlens.operators.lookup import apply_mapping
 
-TRIMMED = ["product", "subproduct", "issue", "subissue", "submitted_via"]
+TRIMMED = ["product", "subproduct", "issue", "subissue", "submitted_via", "company_name", "tags"]
 BANK_TRIMMED = ["fdic_cert", "institution_name", "trade_name_1", "address", "city",
                 "high_holder_city", "top_holder"]
 
@@ -20,16 +20,22 @@ BANK_TRIMMED = ["fdic_cert", "institution_name", "trade_name_1", "address", "cit
 def clean_fields(raw: DataFrame, full_years: tuple[int, int] = D.FULL_YEARS) -> DataFrame:
     """Trim, normalise and default the complaint columns, row by row."""
     col = F.col
-    return raw.select(
+    # trimmed once here, then read several times below
+    trimmed = raw.withColumns({c: text.trim(col(c)) for c in TRIMMED})
+    return trimmed.select(
         "complaint_id",
         "date_received",
         "date_sent_to_company",
-        *[text.trim(col(c)).alias(c) for c in TRIMMED],
-        text.trim(col("company_name")).alias("company_name"),
+        "product",
+        "subproduct",
+        "issue",
+        "subissue",
+        "submitted_via",
+        "company_name",
         text.normalize_name(col("company_name")).alias("company_name_normalized"),
         text.clean_code(col("state"), D.STATE_ALIASES, 2, D.NOT_PROVIDED).alias("state"),
         text.clean_zip(col("zip_code")).alias("zip_code"),
-        text.trim(col("tags")).alias("tags"),
+        "tags",
         *[text.tag_flag(col("tags"), tag).alias(flag) for flag, tag in D.TAGS.items()],
         text.fill_missing(col("company_response_to_consumer"), D.NO_RESPONSE).alias("company_response_to_consumer"),
         text.relabel(col("company_public_response"), D.PUBLIC_RESPONSE_LABELS, D.NOT_PROVIDED)

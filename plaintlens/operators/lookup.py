@@ -42,8 +42,5 @@ def apply_mapping(
     choices = [c for c in (override, F.col("__value")) if c is not None]
     if default is not None:
         choices.append(default if isinstance(default, Column) else F.lit(default))
-    return (
-        df.join(small, condition, "left")
-        .withColumn(out, F.coalesce(*choices))
-        .drop("__value", *[f"__key{i}" for i in range(len(keys))])
-    )
+    kept = [F.col(c) for c in df.columns if c != out]
+    return df.join(small, condition, "left").select(*kept, F.coalesce(*choices).alias(out))

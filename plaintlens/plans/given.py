@@ -9,9 +9,11 @@ of all complaints share one key.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plaintlens.functions.flags import Era
@@ -27,111 +29,121 @@ SETTINGS = Settings(
     intake_artifact_end="1997-04-26",
 )
 
-STATES = "ALAKAZARCACOCTDEFLGAHIIDILINIAKSKYLAMEMDMAMIMNMSMO"
+STATES = "AL AK AZ AR CA CO CT DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO".split()
 VERBOSE_RESPONSE = (
     "Company has responded to the consumer and the CFPB and chooses not to provide a public response"
 )
 
-COMPLAINT_COLUMNS = {
+
+
+@dataclass(frozen=True)
+class Pick:
+    """The index-th (from 0) of several literal values, NULL beyond the end."""
+
+    index: str
+    options: Sequence[str | int | None]
+
+    def column(self) -> Column:
+        return F.get(F.array(*[F.lit(o) for o in self.options]), F.expr(f"cast({self.index} as int)"))
+
+
+@dataclass(frozen=True)
+class Head:
+    """The leading characters of a text, as many as picked."""
+
+    text: str
+    length: Pick
+
+    def column(self) -> Column:
+        return F.left(F.expr(self.text), self.length.column())
+
+
+@dataclass(frozen=True)
+class Join:
+    """Concatenation of SQL expressions and picks; NULL if a part is NULL."""
+
+    parts: Sequence[str | Pick | Head]
+
+    def column(self) -> Column:
+        return F.concat(*[column(p) for p in self.parts])
+
+
+Definition = str | Pick | Head | Join
+
+
+def column(definition: Definition) -> Column:
+    return F.expr(definition) if isinstance(definition, str) else definition.column()
+
+
+# three products per priority, by order status F, O, P
+STATUS = "(instr('FOP', o_orderstatus) - 1)"
+PRODUCT = f"(ascii(o_orderpriority) - 49) * 3 + {STATUS}"
+COMPLAINT_COLUMNS: dict[str, Definition] = {
     "complaint_id": "cast(o_orderkey as string)",
     "date_received": "cast(o_orderdate as date)",
     "date_sent_to_company": """
         case when o_orderkey % 97 <> 5
              then cast(o_orderdate as date) + cast(o_orderkey % 22 - 1 as int) end""",
-    "product": """
-        concat(' ', case
-            when o_orderpriority = '1-URGENT' then if(o_orderstatus = 'O', 'Student loan', 'Mortgage')
-            when o_orderpriority = '2-HIGH' then if(o_orderstatus = 'O',
-                'Credit reporting, credit repair services, or other personal consumer reports',
-                'Credit reporting')
-            when o_orderpriority = '3-MEDIUM' then
-                case o_orderstatus when 'F' then 'Consumer Loan' when 'O' then 'Payday loan'
-                                   else 'Bank account or service' end
-            when o_orderpriority = '4-NOT SPECIFIED' then 'Debt collection'
-            else case o_orderstatus when 'F' then 'Credit card' when 'O' then 'Money transfers'
-                                    else 'Prepaid card' end
-        end, '  ')""",
-    "subproduct": """
-        case
-            when o_orderpriority = '3-MEDIUM' and o_orderstatus = 'F' then
-                case when o_custkey % 7 < 2 then 'Vehicle loan' when o_custkey % 7 = 2 then 'Vehicle lease '
-                     else 'Installment loan' end
-            when o_orderpriority = '4-NOT SPECIFIED' then
-                case o_custkey % 7 when 0 then 'Medical' when 1 then 'Auto'
-                                   when 2 then 'Other (i.e. phone, health club, etc.)'
-                                   else 'I do not know' end
-            when o_orderpriority = '5-LOW' and o_orderstatus = 'F' then if(o_custkey % 2 = 0, null, '')
-            when o_orderpriority = '5-LOW' and o_orderstatus = 'P' then
-                if(o_custkey % 2 = 0, 'Gift or merchant card', 'Mobile wallet')
-            when o_orderpriority = '2-HIGH' and o_orderstatus <> 'O' then null
-            else ' Checking account'
-        end""",
-    "issue": """
-        case cast(floor(o_totalprice / 100000) as int)
-            when 0 then 'Incorrect information on your report'
-            when 1 then 'Loan servicing, payments, escrow account'
-            when 2 then 'Attempts to collect debt not owed '
-            when 3 then 'Fraud or scam'
-            else 'Overdraft, savings or rewards features'
-        end""",
+    "product": Pick(PRODUCT, [
+        " Mortgage  ", "Student loan ", "Mortgage",
+        " Credit reporting", "Credit reporting, credit repair services, or other personal consumer reports",
+        "Credit reporting",
+        "Consumer Loan", " Payday loan", "Bank account or service",
+        "Debt collection", "Debt collection ", " Debt collection",
+        "Credit card", "Money transfers", "Prepaid card",
+    ]),
+    # three subproducts per product
+    "subproduct": Pick(f"({PRODUCT}) * 3 + o_custkey % 3", [
+        "FHA mortgage", " VA mortgage", "Reverse mortgage", "Federal student loan", None, "Private student loan ",
+        "FHA mortgage", "VA mortgage", None,
+        None, None, None, "Credit reporting", None, "Other personal consumer report", None, "", None,
+        "Vehicle loan", "Vehicle lease ", "Installment loan", None, "", "Payday loan",
+        "Checking account", "(CD) Certificate of deposit", " Savings account",
+        "Medical", "Auto", "I do not know", "Other (i.e. phone, health club, etc.)", "Medical ", "I do not know",
+        "Credit card", "Mortgage", None,
+        None, "", None, "International money transfer", None, "", "Gift or merchant card", "Mobile wallet", None,
+    ]),
+    "issue": Pick("floor(o_totalprice / 100000)", [
+        "Incorrect information on your report",
+        "Loan servicing, payments, escrow account",
+        "Attempts to collect debt not owed ",
+        "Fraud or scam",
+        "Overdraft, savings or rewards features",
+    ]),
     "subissue": "case when o_orderkey % 4 <> 0 then concat('Sub-issue ', o_custkey % 5) end",
-    "company_name": """
-        case o_orderkey % 6
-            when 0 then concat('Nation ', o_custkey % 25, ' Holdings')
-            when 1 then concat('NATION ', o_custkey % 25, ' HOLDINGS')
-            when 2 then concat('nation ', o_custkey % 25, ' holdings.')
-            when 3 then concat('  Nation  ', o_custkey % 25, '   Holdings ')
-            when 4 then concat('Nation', chr(9), o_custkey % 25, chr(9), 'Holdings,;')
-            else concat('Nation ', o_custkey % 25, ' Holdings.,')
-        end""",
-    "state": f"""
-        case
-            when o_orderkey % 29 = 0 then null
-            when o_orderkey % 31 = 1 then ' United States Minor Outlying Islands '
-            when o_orderkey % 37 = 2 then 'Federated States'
-            when o_orderkey % 41 = 3 then ''
-            when o_orderkey % 2 = 0 then concat(lower(substr('{STATES}', cast(2 * (o_custkey % 25) + 1 as int), 2)), ' ')
-            else substr('{STATES}', cast(2 * (o_custkey % 25) + 1 as int), 2)
-        end""",
-    "zip_code": """
-        case o_orderkey % 12
-            when 0 then concat(10000 + o_custkey % 89999, '.0')
-            when 1 then concat(1000 + o_custkey % 9000, '-')
-            when 2 then concat(o_custkey % 900 + 1, '.0')
-            when 3 then cast(300000000 + o_custkey % 99999999 as string)
-            when 4 then concat(30000 + o_custkey % 9999, '-1234')
-            when 5 then concat('-', o_custkey % 9)
-            when 6 then 'ABCDE'
-            when 7 then ''
-            when 8 then null
-            when 9 then ' 1234X '
-            when 10 then cast(20000 + o_custkey % 70000 as string)
-            else '9x1'
-        end""",
-    "tags": """
-        case o_orderkey % 9 when 0 then 'Servicemember' when 1 then 'Older American'
-                            when 2 then ' Older American, Servicemember' end""",
-    "submitted_via": """
-        case o_orderstatus when 'F' then 'Web' when 'O' then ' Phone'
-            else case o_orderkey % 3 when 0 then 'Referral' when 1 then 'Postal mail' else 'Telegraph' end end""",
-    "company_response_to_consumer": """
-        case o_orderkey % 10
-            when 0 then 'Closed with monetary relief' when 1 then 'Closed with non-monetary relief'
-            when 2 then 'Closed with relief' when 3 then 'Closed with explanation'
-            when 4 then 'Closed without relief' when 5 then 'Closed' when 6 then 'In progress'
-            when 7 then null when 8 then ' Closed with explanation ' else 'Untimely response'
-        end""",
-    "company_public_response": f"""
-        case o_orderkey % 5
-            when 0 then '{VERBOSE_RESPONSE}' when 1 then null
-            when 2 then 'Company believes it acted appropriately '
-            when 3 then 'Company chooses not to provide a public response' else '' end""",
+    "company_name": Join([
+        Pick("o_orderkey % 6", ["Nation ", "NATION ", "nation ", "  Nation  ", "Nation\t", "Nation "]),
+        "cast(o_custkey % 25 as string)",
+        Pick("o_orderkey % 6",
+             [" Holdings", " HOLDINGS", " holdings.", "   Holdings ", "\tHoldings,;", " Holdings.,"]),
+    ]),
+    "state": Pick("if(o_orderkey % 19 < 4, o_orderkey % 19, 4 + (o_custkey % 25) * 2 + o_orderkey % 2)", [
+        None, " United States Minor Outlying Islands ", "Federated States", "",
+        *[code for state in STATES for code in (state, f" {state.lower()} ")],
+    ]),
+    "zip_code": Join([
+        Pick("o_orderkey % 12", ["", "", "", "3034", "", "-", "ABC", "", None, " ", "", "9x"]),
+        Head("cast(o_custkey % 90000 + 10000 as string)", Pick("o_orderkey % 12", [5, 4, 2, 5, 5, 1, 2, 0, 5, 4, 5, 1])),
+        Pick("o_orderkey % 12", [".0", "-", ".0", "", "-1234", "", "", "", "", "X ", "", ""]),
+    ]),
+    "tags": Pick("o_orderkey % 9", ["Servicemember", "Older American", " Older American, Servicemember"]),
+    "submitted_via": Pick(f"{STATUS} * 3 + o_orderkey % 3", [
+        "Web", "Web ", "Web", " Phone", "Phone", "Phone", "Referral", "Postal mail", "Telegraph",
+    ]),
+    "company_response_to_consumer": Pick("o_orderkey % 10", [
+        "Closed with monetary relief", "Closed with non-monetary relief", "Closed with relief",
+        "Closed with explanation", "Closed without relief", "Closed", "In progress", None,
+        " Closed with explanation ", "Untimely response",
+    ]),
+    "company_public_response": Pick("o_orderkey % 5", [
+        VERBOSE_RESPONSE, None, "Company believes it acted appropriately ",
+        "Company chooses not to provide a public response", "",
+    ]),
     "timely_response": "o_orderstatus <> 'P'",
     "consumer_disputed": """
         case when cast(o_orderdate as date) < date'1998-04-24' then o_orderstatus = 'F'
              when o_orderkey % 501 = 0 then true end""",
-    "consumer_consent_provided": """
-        case o_orderkey % 3 when 0 then 'Consent provided' when 2 then 'Consent not provided ' end""",
+    "consumer_consent_provided": Pick("o_orderkey % 3", ["Consent provided", None, "Consent not provided "]),
     "has_narrative": "cast(o_orderdate as date) >= date'1996-06-01' and o_totalprice > 150000",
 }
 
@@ -143,12 +155,12 @@ HOLDER = """
         else concat('NATION ', {key}, ' HOLDINGS')
     end"""
 
-BANK_COLUMNS = {
+BANK_COLUMNS: dict[str, Definition] = {
     "fdic_certificate_number": "concat(' ', s_suppkey, ' ')",
     "institution_name": "concat(s_name, ' Bank, N.A. ')",
     "city": "concat('City ', s_nationkey)",
-    "state": f"concat(' ', lower(substr('{STATES}', 2 * s_nationkey + 1, 2)))",
-    "holding_company_state": f"case when s_suppkey % 5 <> 0 then substr('{STATES}', 2 * s_nationkey + 1, 2) end",
+    "state": Pick("s_nationkey", [f" {state.lower()}" for state in STATES]),
+    "holding_company_state": Pick("if(s_suppkey % 5 <> 0, s_nationkey, 25)", STATES),
     "top_holder": f"case when s_suppkey % 41 <> 0 then concat({HOLDER.format(key='s_nationkey')}, ' ') end",
     "total_assets": "case when s_acctbal >= 0 then cast(round(s_acctbal * 100) as bigint) * 200 end",
     "total_deposits": "cast(floor(s_acctbal) as bigint) * 14000",
@@ -207,8 +219,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _derive(source: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return source.select(*[F.expr(e).alias(name) for name, e in columns.items()])
+def _derive(source: DataFrame, columns: Mapping[str, Definition]) -> DataFrame:
+    return source.select(*[column(d).alias(name) for name, d in columns.items()])
 
 
 def raw_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:

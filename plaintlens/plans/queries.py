@@ -6,6 +6,7 @@ Each takes (spark, sf_dir) and returns a lazy DataFrame over whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from plaintlens.operators.metrics import metric, over_spine
 from plaintlens.plans import given
 from plaintlens.plans.build import model_checks
 from plaintlens.plans.given import models, table
+from plaintlens.session import tune
 from plaintlens.sources.tables import describe_schema, materialize_lean
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,8 +31,12 @@ INTAKE_CHANNELS = ["Web", "Phone", "Referral", "Postal mail", "Fax", "Email", "W
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(tune(spark), sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:

@@ -12,9 +12,24 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # skip recording a Python call site for every column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
+RUNTIME = [
+    "spark.sql.adaptive.skewJoin.enabled",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin",
+]
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings that may change at run time to a session someone else created."""
+    for key in RUNTIME:
+        spark.conf.set(key, SETTINGS[key])
+    return spark
+
+
 def build_session(app: str = "plaintlens", **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for key, value in {**SETTINGS, **extra}.items():
