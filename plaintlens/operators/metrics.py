@@ -112,6 +112,11 @@ def _parts(
     keys = [*by, *(["period"] if grain else [])]
     source = tables[table] if where is None else tables[table].where(where)
 
+    known = [VIA_ENTITY + d for d in BANK_DIMENSIONS] + (COMPLAINT_DIMENSIONS if table == "complaints" else [])
+    unknown = [d for d in by if d not in known]
+    if unknown:
+        raise ValueError(f"{measures[0]} has no dimension {unknown}")
+
     if table == "banks":
         dims = [F.col(d.removeprefix(VIA_ENTITY)).alias(d) for d in by]
         return source.groupBy(*dims, *period).agg(*[agg().alias(p) for p, agg in aggs.items()])

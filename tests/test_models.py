@@ -164,9 +164,8 @@ def test_every_metric(models):
     tables = {"complaints": models.fact, "banks": models.bank_metrics}
     for name in METRICS:
         change = name.endswith("pct_change")
-        by = [] if name == "total_assets_billions" else ["category"]
-        got = metric(tables, name, by=[] if change else by, grain="year" if name.endswith("yoy_pct_change") else
-                     ("month" if change else None))
+        by = ["company__is_branchless"] if "assets" in name else ["category"]
+        got = metric(tables, name, by=by, grain="month" if change else None)
         assert name in got.columns and not got.isEmpty()
     assert set(MEASURES) < set(METRICS)
     total, = metric(tables, "complaint_count").collect()
@@ -178,8 +177,10 @@ def test_every_metric(models):
     assert rate[0] == 0.01
     whole, = metric(tables, "complaints_per_billion_assets").collect()
     assert whole[0] == 7 / 400
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="whole number"):
         metric(tables, "complaint_count_mom_pct_change", grain="quarter")
+    with pytest.raises(ValueError, match="no dimension"):
+        metric(tables, "total_assets_billions", by=["category"])
 
 
 def test_changes_skip_gaps(spark):
