@@ -93,12 +93,16 @@ def upsert_lookback(
     Delta rows later than the newest existing date minus `days` replace rows with the same key
     or are added; older ones are ignored. A column only one side has is NULL on the other.
     """
-    newest = existing.agg(F.max(time_col).alias("newest")).select(F.date_sub("newest", days))
-    floor = newest.scalar()
-    recent = delta.where(floor.isNull() | (F.col(time_col) > floor))
-    fresh = latest_per_key(recent, key, version)
-    kept = existing.join(fresh.select(key), key, "left_anti")
-    return kept.unionByName(fresh, allowMissingColumns=True)
+    recent = since_lookback(existing, delta, time_col, days)
+    kept = existing.join(recent.select(key), key, "left_anti")
+    return kept.unionByName(latest_per_key(recent, key, version), allowMissingColumns=True)
+
+
+def since_lookback(existing: DataFrame, delta: DataFrame, time_col: str, days: int) -> DataFrame:
+    """Delta rows later than the newest existing date minus `days`; all of them if nothing exists."""
+    newest = existing.agg(F.max(time_col).alias("newest"))
+    floor = newest.select(F.coalesce(F.date_sub("newest", days), F.lit("0001-01-01").cast("date")))
+    return delta.where(F.col(time_col) > floor.scalar())
 
 
 def append_columns(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -234,24 +234,31 @@ def lag_quantiles(
 
     Exact quantiles run on (group, days) counts: as many rows as distinct lags, however large the group.
     """
-    days = F.col("days")
-    names = [f"p{round(p * 100):d}" for p in probs]
+    days, names = F.col("days"), [f"p{round(p * 100):d}" for p in probs]
     lags = df.where(F.col(end).isNotNull()).select(by.alias("grp"), F.datediff(end, start).alias("days"))
-    per_lag = lags.groupBy("grp", "days").agg(F.count("*").alias("c"))
-    summary = per_lag.groupBy("grp").agg(
-        F.sum("c").alias("n"),
-        F.sum(F.when(days < 0, F.col("c")).otherwise(0)).alias("n_negative"),
-        F.sum(F.when(days == 0, F.col("c")).otherwise(0)).alias("n_zero"),
-        F.min(days).alias("min_days"),
-        F.max(days).alias("max_days"),
-        ratio(F.sum(days * F.col("c")), F.sum(F.when(days.isNotNull(), F.col("c")))).alias("mean_days"),
-        *([F.percentile(days, list(probs), F.col("c")).alias("__q")] if exact else []),
-    )
-    if not exact:
-        approx = lags.groupBy("grp").agg(F.percentile_approx("days", list(probs), accuracy).alias("__q"))
-        summary = summary.join(approx.withColumnRenamed("grp", "__grp"), F.col("grp").eqNullSafe(F.col("__grp"))) \
-            .drop("__grp")
-    return summary.select("*", *[F.col("__q")[i].alias(name) for i, name in enumerate(names)]).drop("__q")
+    if exact:
+        c = F.col("c")
+        summary = lags.groupBy("grp", "days").agg(F.count("*").alias("c")).groupBy("grp").agg(
+            F.sum("c").alias("n"),
+            F.sum(F.when(days < 0, c).otherwise(0)).alias("n_negative"),
+            F.sum(F.when(days == 0, c).otherwise(0)).alias("n_zero"),
+            F.min(days).alias("min_days"),
+            F.max(days).alias("max_days"),
+            ratio(F.sum(days * c), F.sum(F.when(days.isNotNull(), c))).alias("mean_days"),
+            F.percentile(days, list(probs), c).alias("__q"),
+        )
+    else:
+        summary = lags.groupBy("grp").agg(
+            F.count("*").alias("n"),
+            F.count_if(days < 0).alias("n_negative"),
+            F.count_if(days == 0).alias("n_zero"),
+            F.min(days).alias("min_days"),
+            F.max(days).alias("max_days"),
+            F.avg(days).alias("mean_days"),
+            F.percentile_approx(days, list(probs), accuracy).alias("__q"),
+        )
+    quantiles = [F.col("__q")[i].alias(name) for i, name in enumerate(names)]
+    return summary.select(*[x for x in summary.columns if x != "__q"], *quantiles)
 
 
 def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -5,6 +5,7 @@ Each takes (spark, sf_dir) and returns a lazy DataFrame over whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -17,9 +18,9 @@ from plaintlens.operators import checks, dims, entity, facts, history, marts, pr
 from plaintlens.operators.lookup import apply_mapping
 from plaintlens.operators.metrics import metric, over_spine
 from plaintlens.plans import given
-from plaintlens.plans.build import model_checks
+from plaintlens.plans.build import model_checks, store
 from plaintlens.plans.given import models, table
-from plaintlens.session import tune
+from plaintlens.session import checkpoint_dir, cut, tune
 from plaintlens.sources.tables import describe_schema, materialize_lean
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -390,28 +391,33 @@ def name_union(spark, sf):
 
 
 def metric_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The fact and the bank mart. The mart is a stored table, one row per bank, used several times."""
     m = models(spark, sf)
-    return {"complaints": m.fact, "banks": m.bank_metrics}
+    return {"complaints": m.fact, "banks": cut(m.bank_metrics)}
+
+
+def complaint_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return {"complaints": models(spark, sf).fact}
 
 
 @query
 def metric_simple(spark, sf):
-    return metric(metric_tables(spark, sf), "complaint_count", by=["product_category"], grain="quarter")
+    return metric(complaint_tables(spark, sf), "complaint_count", by=["product_category"], grain="quarter")
 
 
 @query
 def metric_timely_count(spark, sf):
-    return metric(metric_tables(spark, sf), "timely_response_count", by=["submitted_via"])
+    return metric(complaint_tables(spark, sf), "timely_response_count", by=["submitted_via"])
 
 
 @query
 def metric_disputed_count(spark, sf):
-    return metric(metric_tables(spark, sf), "disputed_count", by=["state"])
+    return metric(complaint_tables(spark, sf), "disputed_count", by=["state"])
 
 
 @query
 def metric_narrative_count(spark, sf):
-    return metric(metric_tables(spark, sf), "narrative_count", by=["tags_is_servicemember"], grain="year")
+    return metric(complaint_tables(spark, sf), "narrative_count", by=["tags_is_servicemember"], grain="year")
 
 
 @query
@@ -426,27 +432,27 @@ def metric_total_assets(spark, sf):
 
 @query
 def metric_ratio(spark, sf):
-    return metric(metric_tables(spark, sf), "timely_response_rate", by=["category"], grain="month")
+    return metric(complaint_tables(spark, sf), "timely_response_rate", by=["category"], grain="month")
 
 
 @query
 def metric_ratio_era(spark, sf):
-    return metric(metric_tables(spark, sf), "dispute_rate", by=["product_category"])
+    return metric(complaint_tables(spark, sf), "dispute_rate", by=["product_category"])
 
 
 @query
 def metric_ratio_narrative(spark, sf):
-    return metric(metric_tables(spark, sf), "narrative_rate", grain="quarter")
+    return metric(complaint_tables(spark, sf), "narrative_rate", grain="quarter")
 
 
 @query
 def metric_mom(spark, sf):
-    return metric(metric_tables(spark, sf), "complaint_count_mom_pct_change", by=["category"], grain="month")
+    return metric(complaint_tables(spark, sf), "complaint_count_mom_pct_change", by=["category"], grain="month")
 
 
 @query
 def metric_yoy(spark, sf):
-    return metric(metric_tables(spark, sf), "complaint_count_yoy_pct_change", grain="quarter")
+    return metric(complaint_tables(spark, sf), "complaint_count_yoy_pct_change", grain="quarter")
 
 
 @query
@@ -467,7 +473,7 @@ def metric_by_entity_dim(spark, sf):
 
 @query
 def metric_over_spine(spark, sf):
-    rare = metric(metric_tables(spark, sf), "complaint_count", grain="day",
+    rare = metric(complaint_tables(spark, sf), "complaint_count", grain="day",
                   where=F.col("company_name_normalized") == "NATION 22 HOLDINGS")
     return over_spine(rare, dims.date_spine_over(raw(spark, sf), "date_received"), "day")
 
@@ -555,7 +561,14 @@ def check_grain(spark, sf):
 
 @query
 def check_summary(spark, sf):
-    return checks.run_checks(model_checks(models(spark, sf)))
+    """All checks on stored models where there is a shared folder: the raw feed is cleaned once."""
+    folder = checkpoint_dir(spark)
+    if folder is None:
+        built = models(spark, sf)
+    else:
+        inputs = given.GivenInputs(spark, sf)
+        built = store(spark, inputs, f"{folder}/plaintlens-{uuid.uuid4().hex}", given.SETTINGS)
+    return checks.run_checks(model_checks(built))
 
 
 # --- history ------------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -37,12 +37,19 @@ def build_session(app: str = "plaintlens", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Shared folder for cut lineage, as the cluster names it; `fallback` serves sessions without one."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if fallback is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The folder all executors share, as the cluster names it, or None."""
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Store a small intermediate result in the shared folder, so that several uses compute it once
+    and a lost executor does not bring its lineage back. Without such a folder the result stays lazy.
+    """
+    folder = checkpoint_dir(df.sparkSession)
+    if folder is None:
+        return df
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
