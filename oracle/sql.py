@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.prelude import (
-    clean_zip, display, implied, lit, n, norm, ratio, rnd, sql, stripped, trim, zip_shape,
+    clean_zip, crosswalk, display, implied, lit, n, norm, ratio, rnd, sql, stripped, trim, zip_shape,
 )
 from plaintlens import defaults as D
 
@@ -89,7 +89,7 @@ oracle(
                      ('orders', 6, 'o_orderpriority', 'string', true))
              t(table_name, ordinal_position, column_name, data_type, is_nullable)""",
     bank_staging="select * from banks",
-    crosswalk_staging="select * from crosswalk",
+    crosswalk_staging=crosswalk("raw_names"),
 )
 
 # row-level cleaning
@@ -396,7 +396,7 @@ oracle(
     scd2_merge=VERSIONS,
     scd2_as_of=VERSIONS + """
     where valid_from <= date '2020-12-31' and (valid_to is null or valid_to > date '2020-12-31')""",
-    known_rebrands="select * from crosswalk where parent_as_of is not null",
+    known_rebrands=f"select * from ({crosswalk('raw_names')}) where parent_as_of is not null",
     upsert_lookback="""
         , e as (select event_id, cast(ts as date) as day, event_type, value, 1 as version from events),
         stored as (select event_id, day, value, version, null as event_type from e where day <= date '2024-01-20'),

@@ -123,7 +123,8 @@ COMPLAINT_COLUMNS: dict[str, Definition] = {
     ]),
     "zip_code": Join([
         Pick("o_orderkey % 12", ["", "", "", "3034", "", "-", "ABC", "", None, " ", "", "9x"]),
-        Head("cast(o_custkey % 90000 + 10000 as string)", Pick("o_orderkey % 12", [5, 4, 2, 5, 5, 1, 2, 0, 5, 4, 5, 1])),
+        Head("cast(o_custkey % 90000 + 10000 as string)",
+             Pick("o_orderkey % 12", [5, 4, 2, 5, 5, 1, 2, 0, 5, 4, 5, 1])),
         Pick("o_orderkey % 12", [".0", "-", ".0", "", "-1234", "", "", "", "", "X ", "", ""]),
     ]),
     "tags": Pick("o_orderkey % 9", ["Servicemember", "Older American", " Older American, Servicemember"]),
@@ -189,6 +190,19 @@ CROSSWALK_COLUMNS = {
     "parent_as_of": "case when n_nationkey = 19 then date'1999-12-01' end",
 }
 
+# a long crosswalk, one reported name per supplier
+SUPPLIER_CROSSWALK_COLUMNS: dict[str, Definition] = {
+    "raw_company_name": Join([
+        Pick("s_suppkey % 4", ["", "  ", "The  ", "\t"]),
+        "s_name",
+        Pick("s_suppkey % 5", ["", ".", " Inc.,", ";", " "]),
+    ]),
+    "canonical_name": "concat(' Group ', s_suppkey % 1000, ' ')",
+    "category": Pick("s_suppkey % 3", ["bank", "debt_collector ", "fintech"]),
+    "fdic_top_holder": "case when s_suppkey % 3 = 0 then concat('GROUP ', s_suppkey % 1000, ' CORP') end",
+    "parent_as_of": "case when s_suppkey % 50 = 7 then date'1999-12-01' end",
+}
+
 PRODUCT_MAP = [
     ("Bank account or service", "Checking or savings account"),
     ("Consumer Loan", "Payday loan, title loan, or personal loan"),
@@ -236,6 +250,10 @@ def raw_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(table(spark, sf_dir, "nation"), CROSSWALK_COLUMNS).where("category is not null")
 
 
+def supplier_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(table(spark, sf_dir, "supplier"), SUPPLIER_CROSSWALK_COLUMNS)
+
+
 def product_map(spark: SparkSession) -> DataFrame:
     return inline_rows(spark, schemas.PRODUCT_MAP, PRODUCT_MAP)
 

@@ -157,7 +157,7 @@ def bank_staging(spark, sf):
 
 @query
 def crosswalk_staging(spark, sf):
-    return models(spark, sf).crosswalk
+    return facts.clean_crosswalk(given.supplier_crosswalk(spark, sf))
 
 
 # --- row-level cleaning -------------------------------------------------------------------
@@ -604,7 +604,7 @@ def scd2_as_of(spark, sf):
 
 @query
 def known_rebrands(spark, sf):
-    return history.known_changes(models(spark, sf).crosswalk)
+    return history.known_changes(facts.clean_crosswalk(given.supplier_crosswalk(spark, sf)))
 
 
 @query
@@ -763,7 +763,8 @@ def frequent_semi(spark, sf):
 
 @query
 def rate_by_year(spark, sf):
-    since = raw(spark, sf).where(F.col("date_received").between(flags.as_date("1996-06-01"), flags.as_date("2000-12-31")))
+    days = F.col("date_received")
+    since = raw(spark, sf).where(days.between(flags.as_date("1996-06-01"), flags.as_date("2000-12-31")))
     return profile.rate_by(since, [F.year("date_received").alias("year"), "product"], "has_narrative")
 
 
@@ -817,7 +818,8 @@ def subproducts_per_product(spark, sf):
 @query
 def largest_institutions(spark, sf):
     return profile.largest(bank_rows(spark, sf), "total_assets", 50,
-                           ["institution_name", "top_holder", "fdic_cert", "state", "city", "total_assets"], "fdic_cert")
+                           ["institution_name", "top_holder", "fdic_cert", "state", "city", "total_assets"],
+                           tie="fdic_cert")
 
 
 @query

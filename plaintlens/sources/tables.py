@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plaintlens.functions.text import presence_flag
 from plaintlens.sources import schemas
 
 
@@ -40,7 +41,7 @@ def inline_rows(spark: SparkSession, schema: str, rows: Sequence[Sequence]) -> D
 
 def materialize_lean(df: DataFrame, drop: Sequence[str], presence_flags: Mapping[str, str]) -> DataFrame:
     """Replace wide columns by flags that say whether they were present."""
-    return df.withColumns({flag: F.col(c).isNotNull() for flag, c in presence_flags.items()}).drop(*drop)
+    return df.withColumns({flag: presence_flag(F.col(c)) for flag, c in presence_flags.items()}).drop(*drop)
 
 
 def save(df: DataFrame, name: str, mode: str = "view", partition_by: Sequence[str] = ()) -> DataFrame:

@@ -37,7 +37,7 @@ def _types(arrow) -> dict[str, str]:
 def differences(spark, con, query, sql: str, sf_dir: str) -> list[str]:
     """Human-readable differences; an empty list means equal."""
     ours = query(spark, sf_dir).toArrow()
-    theirs = con.execute(sql).to_arrow_table()
+    theirs = con.sql(sql).to_arrow_table()
     out = []
     if _types(ours) != _types(theirs):
         a, b = _types(ours), _types(theirs)

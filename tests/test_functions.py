@@ -103,7 +103,7 @@ def test_week_of_year_matches_sunday_weeks(spark):
 
 def test_surrogate_key(spark):
     assert apply(spark, ["Truist", None], keys.surrogate_key) == [359436154788614867, None]
-    df = spark.sql("select 'ab' a, 'c' b union all select 'a', 'bc' union all select null, 'c' union all select '', 'c'")
+    df = spark.sql("select * from values ('ab', 'c'), ('a', 'bc'), (null, 'c'), ('', 'c') as t(a, b)")
     got = [r[0] for r in df.select(keys.surrogate_key(F.col("a"), F.col("b"))).collect()]
     assert len(set(got)) == 4 and None not in got
 
