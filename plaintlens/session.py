@@ -12,8 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # the JVM does not compile methods above 8000 bytes; stages that wide run operator by operator instead
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     # skip recording a Python call site for every column expression
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -22,7 +20,6 @@ SETTINGS = {
 RUNTIME = [
     "spark.sql.adaptive.skewJoin.enabled",
     "spark.sql.adaptive.forceOptimizeSkewedJoin",
-    "spark.sql.codegen.hugeMethodLimit",
 ]
 
 
