@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plaintlens.llm import exact_dedup, mixing
+from plaintlens.llm import bpe, exact_dedup, langid, mixing, pii, secret_scan, toxicity
 from plaintlens.llm.common import table
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
@@ -19,9 +28,31 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(hashed, carry=["text_sha256"])
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
+def tokenizer() -> bpe.Tokenizer:
+    return bpe.Tokenizer(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bpe.digests(docs, tokenizer().with_cache(docs))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op3_personal_data": op3_personal_data,
+    "op4_language": op4_language,
     "op5_mix_sources": op5_mix_sources,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_secrets": op7_secrets,
+    "op8_bpe": op8_bpe,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE = {
