@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plaintlens.llm import bpe, exact_dedup, langid, mixing, pii, secret_scan, toxicity
+from plaintlens.llm import bagminhash, bpe, exact_dedup, langid, mixing, order_minhash, pii, secret_scan, toxicity
 from plaintlens.llm.common import table
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
@@ -41,17 +45,23 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, tokenizer().with_cache(docs))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
+    "op2_near_dedup": op2_near_dedup,
     "op3_personal_data": op3_personal_data,
     "op4_language": op4_language,
     "op5_mix_sources": op5_mix_sources,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_secrets": op7_secrets,
     "op8_bpe": op8_bpe,
+    "op9_fingerprints": op9_fingerprints,
     "op10_toxicity": op10_toxicity,
 }
 
