@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plaintlens.llm.common import join_groups, one_space, store, text_of
+from plaintlens.llm.wordhash import GOLDEN, mixed, word_hashes
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -44,33 +45,16 @@ SLICE = 4 << 20
 FILTER = 1 << 20
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """splitmix64's finaliser."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Text number and hash of each run of WORDS words; words are parted by spaces."""
-    sizes = np.array([len(t) + 1 for t in texts], np.int64)
-    raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    inside = raw != 32
-    begins = np.flatnonzero(inside & np.concatenate([[True], ~inside[:-1]]))
-    if not len(begins):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    of_byte = np.cumsum(np.bincount(begins, minlength=len(raw))) - 1
-    place = np.arange(len(raw)) - begins[np.maximum(of_byte, 0)]
-    factors = _mixed(np.arange(1, int(place.max()) + 2, dtype=np.uint64)) | np.uint64(1)
-    value = np.where(inside, (raw.astype(np.uint64) + np.uint64(1)) * factors[np.maximum(place, 0)], np.uint64(0))
-    word = _mixed(np.add.reduceat(value, begins))
-    text = np.searchsorted(np.cumsum(sizes), begins, "right")
+    text, word = word_hashes(texts)
+    if not len(word):
+        return text, word
     count = np.bincount(text, minlength=len(texts))
     first = np.cumsum(count) - count
-    step = np.uint64(0x9E3779B97F4A7C15)
     whole = word.copy()
     for back in range(1, WORDS):
-        whole[: len(word) - back] = _mixed(whole[: len(word) - back] * step + word[back:])
+        whole[: len(word) - back] = mixed(whole[: len(word) - back] * GOLDEN + word[back:])
     last = len(word) - WORDS + 1
     full = np.flatnonzero(text[: max(0, last)] == text[WORDS - 1 :]) if last > 0 else np.zeros(0, np.int64)
     short = np.flatnonzero((count > 0) & (count < WORDS))
@@ -78,8 +62,8 @@ def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     for t in short:
         x = word[first[t] : first[t] + 1]
         for back in range(1, count[t]):
-            x = _mixed(x * step + word[first[t] + back : first[t] + back + 1])
-        few.append(_mixed(x + np.uint64(1))[0])
+            x = mixed(x * GOLDEN + word[first[t] + back : first[t] + back + 1])
+        few.append(mixed(x + np.uint64(1))[0])
     texts_of = np.concatenate([text[full], short])
     hashes = np.concatenate([whole[full], np.array(few, np.uint64)])
     order = np.argsort(texts_of, kind="stable")
@@ -109,7 +93,7 @@ def signatures(text: np.ndarray, hashes: np.ndarray, counts: np.ndarray, texts:
     of, level = np.concatenate(element), np.concatenate(levels)
     low = np.where(level > 0, np.left_shift(1, np.maximum(level - 1, 0)), 0)
     width = np.maximum(low, 1)
-    seed = _mixed(hashes[of] + level.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
+    seed = mixed(hashes[of] + level.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
     room = counts[of] - low
     doc = text[of]
     horizon = np.zeros(texts)
@@ -121,11 +105,11 @@ def signatures(text: np.ndarray, hashes: np.ndarray, counts: np.ndarray, texts:
         now, turn = np.zeros(len(active)), 0
         while len(active):
             turn += 1
-            random = _mixed(seed[active] + np.uint64(turn * 0x9E3779B97F4A7C15 % (1 << 64)))
+            random = mixed(seed[active] + np.uint64(turn * 0x9E3779B97F4A7C15 % (1 << 64)))
             now = now - np.log((np.right_shift(random, np.uint64(11)).astype(np.float64) + 0.5) / 2**53) / width[active]
             stay = now <= horizon[doc[active]]
             active, now, random = active[stay], now[stay], random[stay]
-            other = _mixed(random)
+            other = mixed(random)
             position = (np.right_shift(other, np.uint64(32)) * np.uint64(SIZE)) >> np.uint64(32)
             share = (other & np.uint64(0xFFFFFFFF)).astype(np.float64) / 2**32
             there = np.floor(share * width[active]) < room[active]
@@ -140,7 +124,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     bits = signature.view(np.uint64).reshape(len(signature), BANDS, ROWS)
     key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), bits.shape[:2])
     for row in range(ROWS):
-        key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + bits[:, :, row])
+        key = mixed(key * GOLDEN + bits[:, :, row])
     return key.view(np.int64)
 
 
@@ -259,9 +243,9 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
     # what shares a bucket and is not connected yet
     labelled = members.select("key", "node", "weight").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     parts = store(labelled.groupBy("key", "root").agg(F.count("*").alias("n")))
-    mixed = parts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1")
-    mixed = store(mixed.select("key", F.col("main.root").alias("main"), "n"))
-    open_rows = store(join_groups(labelled, mixed, ["key"], "n", weights))
+    divided = parts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1")
+    divided = store(divided.select("key", F.col("main.root").alias("main"), "n"))
+    open_rows = store(join_groups(labelled, divided, ["key"], "n", weights))
     strays = open_rows.where("root != main").select("key", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("weight").alias("weight_a"))
     others = open_rows.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("weight").alias("weight_b"), "main")
     apart = strays.join(others, "key").where((F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b"))))

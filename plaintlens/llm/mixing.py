@@ -34,7 +34,7 @@ MOST_PASSES = 2
 #: Rounds of a permutation.
 ROUNDS = 16
 #: Documents in one layout bucket, about.
-LAYOUT = 4096
+LAYOUT = 512
 #: Draws that one row unfolds into.
 CHUNK = 1 << 14
 
@@ -111,7 +111,8 @@ def slots(sources: DataFrame, seed: int = 0, shard: int = SHARD) -> DataFrame:
     """Every draw: sid, pass, block (its number in the source), slot and shard of the output."""
     chunked = sources.where("draws > 0").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(draws - 1) div {CHUNK}"))))
     # chunks are few rows; each unfolds into CHUNK draws in the task it is dealt to
-    chunked = chunked.repartition("sid", "chunk")
+    everything = sources.agg(F.max("all_draws")).first()[0] or 0
+    chunked = chunked.repartition(1 + everything // (4 * CHUNK), "sid", "chunk")
     last = F.least((F.col("chunk") + 1) * CHUNK, F.col("draws")) - 1
     drawn = chunked.withColumn("draw", F.explode(F.sequence(F.col("chunk") * CHUNK, last)))
     drawn = drawn.withColumn("pass", F.expr("draw div blocks"))
@@ -138,11 +139,12 @@ def mixed(docs: DataFrame, seed: int = 0, block: int = BLOCK, **targets) -> Data
     layout = laid_out(docs, block, **targets)
     rows = store(layout.rows)
     times = slots(layout.sources, seed).groupBy("sid", "block").agg(F.count("*").alias("times"))
-    joined = pieces(rows, block).join(times, ["sid", "block"])
+    # the draws unfold from a small table, whose size says nothing about theirs: never broadcast them
+    joined = pieces(rows, block).join(times.hint("merge"), ["sid", "block"])
     taken = joined.groupBy("doc_id", "sid", "content", "copy").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     taken = taken.select(F.col("doc_id").alias("__id"), F.col("sid").alias("__sid"), F.col("content").alias("__content"), F.col("copy").alias("__copy"), "taken")
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("sid") == F.col("__sid")) & (F.col("content") == F.col("__content")) & (F.col("copy") == F.col("__copy"))
-    whole = rows.join(taken, same, "left").join(layout.sources.select(F.col("sid").alias("__number"), "source_size", "target"), F.col("sid") == F.col("__number"))
+    whole = rows.join(taken.hint("merge"), same, "left").join(layout.sources.select(F.col("sid").alias("__number"), "source_size", "target"), F.col("sid") == F.col("__number"))
     return whole.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
 
@@ -154,7 +156,7 @@ def mixed_documents(docs: DataFrame, seed: int = 0, block: int = BLOCK, **target
     """
     layout = laid_out(docs, block, **targets)
     drawn = slots(layout.sources, seed).select("sid", "block", "pass")
-    joined = pieces(layout.rows, block).join(drawn, ["sid", "block"])
+    joined = pieces(layout.rows, block).join(drawn.hint("merge"), ["sid", "block"])
     parts = joined.groupBy("doc_id", "content", "copy", "pass", "size").agg(
         F.sort_array(F.collect_list(F.struct("first", "words"))).alias("__parts"), F.sum("words").alias("__taken")
     ).select(F.col("doc_id").alias("__id"), F.col("content").alias("__of"), "__parts", (F.col("__taken") == F.col("size")).alias("__all"))
@@ -163,7 +165,7 @@ def mixed_documents(docs: DataFrame, seed: int = 0, block: int = BLOCK, **target
     whole = F.struct(*(F.col(c) for c in docs.columns))
     texts = docs.select(F.col("doc_id").alias("__doc"), content.alias("__content"), whole.alias("__whole"))
     texts = texts.groupBy("__doc", "__content").agg(F.any_value("__whole").alias("__whole"))
-    met = texts.join(parts, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__content") == F.col("__of")))
+    met = texts.join(parts.hint("merge"), F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__content") == F.col("__of")))
     words = F.split(F.trim(one_space(text_of("__whole.text"))), " ")
     met = met.withColumn("__words", F.when(~F.col("__all"), words))
     cut = F.transform("__parts", lambda p: F.array_join(F.slice("__words", p["first"].cast("int") + 1, p["words"].cast("int")), " "))

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plaintlens.llm.common import in_fold, text_of
+from plaintlens.llm.wordhash import GOLDEN, mixed
 
 #: Labelled rows of each label used for fitting, at most.
 SAMPLE = 2000
@@ -63,22 +64,15 @@ def grams_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             of_word.append(word[: len(rolling)][whole])
             bucket.append(rolling[whole] + np.uint64(n))
     place = np.arange(len(raw)) - np.repeat(ends[:-1], length)
-    mixed = _mixed(raw + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    places = mixed(raw + place.astype(np.uint64) * GOLDEN)
     of_word.append(np.arange(len(length)))
-    bucket.append(np.add.reduceat(mixed, ends[:-1]) if len(length) else mixed)
-    of_word, bucket = np.concatenate(of_word), _mixed(np.concatenate(bucket)) % np.uint64(BUCKETS)
+    bucket.append(np.add.reduceat(places, ends[:-1]) if len(length) else places)
+    of_word, bucket = np.concatenate(of_word), mixed(np.concatenate(bucket)) % np.uint64(BUCKETS)
     order = np.argsort(of_word, kind="stable")
     counts = np.bincount(of_word, minlength=len(length))
     return bucket[order].astype(np.int32), np.concatenate([[0], np.cumsum(counts)])
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """splitmix64's finaliser: spreads the bits of sums and products."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 class Model:
     """Vectors, the softmax's difference of class weights, and its bias."""
 
