@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plaintlens.llm import bagminhash, bpe, exact_dedup, langid, mixing, order_minhash, pii, secret_scan, toxicity
+from plaintlens.llm import bagminhash, bpe, exact_dedup, langid, lm_score, mixing, order_minhash, pii, secret_scan, toxicity
 from plaintlens.llm.common import table
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.held_out_scores(table(spark, sf_dir, "documents"))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.classes(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_score": op1_lm_score,
     "op2_near_dedup": op2_near_dedup,
     "op3_personal_data": op3_personal_data,
     "op4_language": op4_language,
