@@ -134,7 +134,9 @@ class Trie:
         for name, values in zip(cls.LEVELS, (words, np.cumsum(counts).astype(np.uint64), ends, below), strict=True):
             for part, data in EliasFano.parts(values).items():
                 np.save(folder / f"{name}-{part}.npy", data)
-        edges = np.unique(np.quantile(weights, np.linspace(0, 1, 257)[1:-1])) if len(weights) else np.zeros(0)
+        # half of the codes follow the weights, half their range, so that no rare large weight is far from its code
+        spread = np.linspace(0, 1, 129)[1:-1]
+        edges = np.unique([*np.quantile(weights, spread), *(weights.min() + spread * np.ptp(weights))]) if len(weights) else np.zeros(0)
         codes = np.searchsorted(edges, weights).astype(np.uint8)
         sums, n = np.bincount(codes, weights, 256), np.bincount(codes, minlength=256)
         np.save(folder / "codes.npy", codes)

@@ -42,7 +42,7 @@ from plaintlens.llm.wordhash import mixed, word_hashes
 #: Tokens in a shard, about.
 SHARD = 4_000_000
 #: How many observations the word's own probability is worth.
-STRENGTH = 200.0
+STRENGTH = 100.0
 #: Bytes of text tokenised at once.
 SLICE = 8 << 20
 END, BEGIN = np.uint64(1), np.uint64(2)
