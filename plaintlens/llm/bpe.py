@@ -2,8 +2,8 @@
 
 A text is split into words by the tokenizer's pattern. Each word becomes an array of byte tokens, and a
 fold applies merges in rank order: the adjacent pair with the lowest rank, the leftmost of equals,
-becomes one token, until no pair has a rank. Ranks come from a literal map, as a flat array with
-two possible places for each pair (built once on the driver), so that a look-up is two array reads.
+becomes one token, until no pair has a rank. Ranks come from a literal map in the form of two arrays
+(built once on the driver), so that a look-up is two array reads.
 Decoding concatenates the tokens' binary pieces.
 
 The words folded first are the most frequent distinct words of a sample: CACHED words of about SAMPLE documents at
@@ -21,20 +21,23 @@ import json
 import random
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plaintlens.llm.common import text_of
+from plaintlens.llm.common import drop, store, text_of
 
 #: Words in the literal word map, at most, and documents they are counted in, about.
-CACHED = 150_000
-SAMPLE = 6_000
+CACHED = 200_000
+SAMPLE = 12_000
 #: Bits of a token id in a map entry.
 BITS = 17
 #: The rank of a pair that doesn't merge.
 NEVER = 1 << BITS
-#: Multipliers of the two places of a pair; fixed primes.
-FIRST, SECOND = (40_009, 50_021), (60_013, 70_001)
+#: An empty place of the rank map: never less than NEVER, whatever the left token.
+NOTHING = 1 << 40
+#: What Unicode calls white space, for a character class; fixed values.
+WHITE = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -60,21 +63,42 @@ def _two_places(entries: list[tuple[int, int]], size: int) -> list[int]:
     return table
 
 
-def pair_table(ranks: dict[bytes, int]) -> list[int]:
-    """left, right and merged id of every pair of tokens that together are a token, packed in one number."""
-    pairs = [
-        (ranks[token[:cut]], ranks[token[cut:]], rank)
-        for token, rank in ranks.items()
-        for cut in range(1, len(token))
-        if token[:cut] in ranks and token[cut:] in ranks
-    ]
-    size = 1 << (2 * len(pairs)).bit_length()
-    while True:
-        places = [tuple((left * a + right * b) % size for a, b in (FIRST, SECOND)) for left, right, _ in pairs]
-        table = _two_places(places, size)
-        if sum(e >= 0 for e in table) == len(pairs):
-            return [-1 if e < 0 else (pairs[e][0] << 2 * BITS) | (pairs[e][1] << BITS) | pairs[e][2] for e in table]
-        size *= 2
+def pair_table(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
+    """The rank map of token pairs, as first place of each left token, and a flat table.
+
+    The pair (left, right) is at the left token's first place plus right, where left and the merged token are
+    packed in one number. Rows of different left tokens interleave: each takes the first offset at which its
+    places are free, rows with most pairs first.
+    """
+    rows: dict[int, list[tuple[int, int]]] = {}
+    for token, rank in ranks.items():
+        for cut in range(1, len(token)):
+            left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+            if left is not None and right is not None:
+                rows.setdefault(left, []).append((right, rank))
+    size = max(ranks.values()) + 1
+    first, taken = [0] * size, np.zeros(8 * size, bool)
+    placed: list[tuple[int, int]] = []
+    reached: dict[int, int] = {}  # a row starts where the last one of about its length found room
+    for left, row in sorted(rows.items(), key=lambda item: -len(item[1])):
+        rights = np.array([right for right, _ in row])
+        offset = reached.get(len(row) // 8, 0)
+        while True:
+            offsets = np.arange(offset, offset + 256)
+            if offsets[-1] + size > len(taken):
+                taken = np.concatenate([taken, np.zeros(len(taken), bool)])
+            free = np.flatnonzero(~taken[offsets[:, None] + rights].any(1))
+            if len(free):
+                break
+            offset += 256
+        first[left] = int(offsets[free[0]])
+        reached[len(row) // 8] = first[left]
+        taken[first[left] + rights] = True
+        placed += [(first[left] + right, (left << BITS) | rank) for right, rank in row]
+    flat = [NOTHING] * (max([first[left] for left in rows] + [0]) + size)
+    for place, entry in placed:
+        flat[place] = entry
+    return first, flat
 
 
 @dataclass
@@ -85,27 +109,28 @@ class Tokenizer:
     pattern: str
 
     def __post_init__(self) -> None:
-        self.pairs = pair_table(self.ranks)
+        self.first, self.flat = pair_table(self.ranks)
         self.bytes = [self.ranks[bytes([b])] for b in range(256)]
         self.pieces = [""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.pieces[rank] = token.hex()
-        self.words: list[str | None] = [None]
-        self.word_ids: list[list[int] | None] = [None]
+        # the pattern's white space is Unicode's, the engine's is ASCII's
+        split = self.pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"[\s", f"[{WHITE}")
+        self.split = split.replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]")
+        self.slots, self.words = 1, '"words":[null],"ids":[null]'
 
     # ---- expressions
 
-    def _maps(self) -> Column:
-        """All literal maps as one value."""
-        whole = {"pairs": self.pairs, "bytes": self.bytes, "words": self.words, "ids": self.word_ids}
-        kind = "struct<pairs: array<long>, bytes: array<long>, words: array<string>, ids: array<array<long>>>"
-        return F.from_json(F.lit(json.dumps(whole, separators=(",", ":"), ensure_ascii=False)), kind)
+    def _maps(self, words: bool = True) -> Column:
+        """The literal maps as one value; the word map only if asked for."""
+        pairs = json.dumps({"first": self.first, "flat": self.flat, "bytes": self.bytes}, separators=(",", ":"))
+        kind = "first: array<int>, flat: array<long>, bytes: array<long>" + ", words: array<string>, ids: array<array<int>>" * words
+        return F.from_json(F.lit(pairs[:-1] + "," + self.words + "}" if words else pairs), f"struct<{kind}>")
 
     def _rank(self, maps: Column, left: Column, right: Column) -> Column:
-        size, key = len(self.pairs), left * F.lit(1 << BITS) + right
-        entries = [F.get(maps["pairs"], (left * F.lit(a) + right * F.lit(b)) % F.lit(size)) for a, b in (FIRST, SECOND)]
-        found = [(F.shiftright(e, BITS) == key, e.bitwiseAND(F.lit((1 << BITS) - 1))) for e in entries]
-        return F.when(*found[0]).when(*found[1]).otherwise(F.lit(NEVER).cast("long"))
+        """The rank of a pair, or NEVER or more: the table's entry less its left token, if that is this one."""
+        entry = F.get(maps["flat"], F.get(maps["first"], left) + right)
+        return entry.bitwiseXOR(F.shiftleft(left, BITS))
 
     def folded(self, maps: Column, word: Column) -> Column:
         """Tokens of one word by ranked merges."""
@@ -131,20 +156,19 @@ class Tokenizer:
 
                 return _let(F.array_position(state["ranks"], least).cast("int"), put)
 
-            least = F.array_min(state["ranks"])
-            return F.when(least < NEVER, _let(least, at)).otherwise(state)
+            return _let(F.array_min(state["ranks"]), lambda least: F.when(least < NEVER, at(least)).otherwise(state))
 
         turns = F.slice(F.sequence(F.lit(1), size), F.lit(1), size - 1)
-        return _let(parts, lambda p: F.aggregate(turns, start(p), merge, lambda s: s["parts"]))
+        return _let(parts, lambda p: F.aggregate(turns, start(p), merge, lambda s: s["parts"])).cast("array<int>")
 
     def encoded(self, text: Column) -> Column:
         """Token ids of a text."""
-        words = F.regexp_extract_all(text, F.lit("(?U)" + self.pattern), F.lit(0))
-        size = len(self.words)
+        words = F.regexp_extract_all(text, F.lit(self.split), F.lit(0))
 
         def tokens(maps: Column, word: Column) -> Column:
             out = self.folded(maps, word)
-            for place in (F.pmod(F.hash(word), F.lit(size)), F.pmod(F.xxhash64(word), F.lit(size))):
+            for hashed in (F.xxhash64, F.hash):  # most cached words are in their first place, by hash
+                place = F.pmod(hashed(word), F.lit(self.slots))
                 out = F.when(F.get(maps["words"], place) == word, F.get(maps["ids"], place)).otherwise(out)
             return out
 
@@ -167,16 +191,22 @@ class Tokenizer:
         """This tokenizer with the most frequent words of a bounded sample of docs folded beforehand."""
         share = sample / max(1, docs.count())
         some = docs.select("text") if share >= 1 else docs.select("text").sample(share, seed=0)
-        words = F.regexp_extract_all(text_of("text"), F.lit("(?U)" + self.pattern), F.lit(0))
+        words = F.regexp_extract_all(text_of("text"), F.lit(self.split), F.lit(0))
         counted = some.select(F.explode(words).alias("word")).groupBy("word").count()
-        often = counted.orderBy(F.desc("count"), "word").limit(cached)
-        size = 1 << (cached * 2 - 1).bit_length()
-        places = [F.pmod(f("word"), F.lit(size)).alias(n) for f, n in ((F.hash, "one"), (F.xxhash64, "two"))]
-        ids = _let(self._maps(), lambda maps: self.folded(maps, F.col("word")))
-        rows = often.repartition(often.sparkSession.sparkContext.defaultParallelism).select("word", *places, ids.alias("ids")).collect()
-        table = _two_places([(r["one"], r["two"]) for r in rows], size)
-        self.words = [None if e < 0 else rows[e]["word"] for e in table]
-        self.word_ids = [None if e < 0 else rows[e]["ids"] for e in table]
+        often = store(counted.where("count > 1").orderBy(F.desc("count"), "word").limit(cached).select("word"))
+        self.slots = 1 << (2 * often.count()).bit_length()
+        places = [F.pmod(hashed("word"), F.lit(self.slots)).alias(n) for n, hashed in (("one", F.hash), ("two", F.xxhash64))]
+        ids = _let(self._maps(words=False), lambda maps: self.folded(maps, F.col("word")))
+        # JSON texts of words and ids, so that the driver holds no object for each of them
+        shown = [F.to_json(F.array("word")).alias("shown"), ids.cast("string").alias("ids")]
+        rows = often.repartition(2 * often.sparkSession.sparkContext.defaultParallelism).select(*places, *shown).toArrow()
+        one, two = rows["one"].to_pylist(), rows["two"].to_pylist()
+        table = _two_places(list(zip(one, two, strict=True)), self.slots)
+        word, ids_of = rows["shown"].combine_chunks(), rows["ids"].combine_chunks()
+        shown_words = ",".join("null" if e < 0 else word[e].as_py()[1:-1] for e in table)
+        shown_ids = ",".join("null" if e < 0 else ids_of[e].as_py() for e in table)
+        self.words = f'"words":[{shown_words}],"ids":[{shown_ids}]'
+        drop(often)
         return self
 
 
@@ -185,17 +215,20 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+MADE = ("token_ids", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def encode(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
-    """docs with a column token_ids in place of text."""
-    others = [c for c in docs.columns if c not in ("text", "token_ids")]
-    return docs.select(*others, tokenizer.encoded(text_of("text")).cast("array<int>").alias("token_ids"))
+    """docs with a column token_ids in place of text; columns named like those made here give way."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", *MADE)]
+    return docs.select(*others, tokenizer.encoded(text_of("text")).alias("token_ids"))
 
 
-def digests(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
-    """doc_id, n_tokens, and SHA-256 of the packed ids and of the bytes decoded from them."""
+def tokenised(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
+    """encode, with n_tokens and SHA-256 of the packed ids and of the bytes decoded from them."""
     ids = F.col("token_ids")
-    return encode(docs.select("doc_id", "text"), tokenizer).select(
-        "doc_id",
+    return encode(docs, tokenizer).select(
+        "*",
         F.size(ids).cast("long").alias("n_tokens"),
         F.sha2(tokenizer.packed(ids), 256).alias("ids_sha256"),
         F.sha2(tokenizer.decoded(ids), 256).alias("decoded_sha256"),

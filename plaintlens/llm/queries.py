@@ -46,7 +46,7 @@ def tokenizer() -> bpe.Tokenizer:
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return bpe.digests(docs, tokenizer().with_cache(docs))
+    return bpe.tokenised(docs.select("doc_id", "text"), tokenizer().with_cache(docs)).drop("token_ids")
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
