@@ -215,5 +215,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     """The documents that the model doesn't reject, with their columns as they are."""
     held = in_fold(F.col("doc_id"), 4, 2)
     model = train(docs.select("doc_id", "text").where(~held), labels.select("doc_id", "toxic").where(~held), most)
-    whole = docs.select(F.struct(*docs.columns).alias("__whole"), text_of("text").alias("text"))
-    return scored(whole, model).where(F.col("score") < threshold).select("__whole.*")
+    others = F.struct(F.lit(0).alias("none"), *(F.col(c) for c in docs.columns if c != "text"))
+    kept = scored(docs.select(others.alias("others"), "text"), model).where(F.col("score") < threshold)
+    return kept.select(*(F.col(c) if c == "text" else F.col(f"others.`{c}`") for c in docs.columns))
