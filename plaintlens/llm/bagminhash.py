@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plaintlens.llm.common import join_groups, one_space, store, text_of
+from plaintlens.llm.common import one_space, store, text_of
 from plaintlens.llm.wordhash import GOLDEN, mixed, word_hashes
 
 WORDS = 5
@@ -166,24 +166,27 @@ def signed(docs: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """node and root (its component's smallest node) of every linked node: large-star and small-star rounds.
 
-    links has columns a and b. Hot nodes are folded before they are moved and joined by `join_groups`.
+    links has columns a and b. A hot node's neighbours are folded to their minimum before they are moved;
+    both sides of each join are stored tables, so that adaptive execution sees their true sizes and
+    splits a hot node's rows.
     """
-    edges, state = store(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()), None
+    edges = store(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
     while True:
-        both = store(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
-        edges = _star(both, F.col("v") > F.col("u"))
-        edges = _star(edges, F.lit(True))
-        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if now == state:
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        edges = _star(_star(both, F.col("v") > F.col("u")), F.lit(True))
+        # settled when every node has one neighbour and no root has any
+        seen = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+        )
+        sides = seen.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if sides.where("up > 1 or (up > 0 and down > 0)").isEmpty():
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        state = now
 
 
 def _star(edges: DataFrame, which) -> DataFrame:
     """Connect the chosen neighbours of each u, and u itself, to the smallest of them."""
-    least = edges.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m"), F.count("*").alias("n"))
-    met = join_groups(edges, store(least), ["u"], "n", edges.count())
-    linked = met.where(which).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = store(edges.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m")))
+    linked = edges.where(which).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     own = least.select("u", F.col("m").alias("v"))
     return store(linked.unionByName(own).where("u != v").distinct())
 
@@ -230,11 +233,10 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
 
     bands = store(nodes.select(F.explode("keys").alias("key"), "node", "weight"))
     buckets = store(bands.groupBy("key").agg(F.min("node").alias("rep"), F.count("*").alias("n")).where("n > 1"))
-    weights = bands.count()
-    members = store(join_groups(bands, buckets, ["key"], "n", weights))
-    of_rep = members.where("node = rep").select("key", "n", F.col("weight").alias("weight_a"), F.col("node").alias("a"))
+    members = store(bands.join(buckets, "key"))
+    of_rep = store(members.where("node = rep").select("key", F.col("weight").alias("weight_a"), F.col("node").alias("a")))
     followers = members.where("node != rep").select("key", F.col("node").alias("b"), F.col("weight").alias("weight_b"))
-    first = store(_comparable(join_groups(followers, of_rep, ["key"], "n", weights), similarity))
+    first = store(_comparable(followers.join(of_rep, "key"), similarity))
 
     texts = _texts(docs, nodes, members)
     links = store(_verified(first, texts, similarity))
@@ -244,15 +246,15 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
     labelled = members.select("key", "node", "weight").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     parts = store(labelled.groupBy("key", "root").agg(F.count("*").alias("n")))
     divided = parts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1")
-    divided = store(divided.select("key", F.col("main.root").alias("main"), "n"))
-    open_rows = store(join_groups(labelled, divided, ["key"], "n", weights))
+    divided = store(divided.select("key", F.col("main.root").alias("main")))
+    open_rows = store(labelled.join(divided, "key"))
     strays = open_rows.where("root != main").select("key", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("weight").alias("weight_a"))
     others = open_rows.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("weight").alias("weight_b"), "main")
     apart = strays.join(others, "key").where((F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b"))))
     second = store(_comparable(apart, similarity).join(first, ["a", "b"], "left_anti"))
     more = store(_verified(second, texts, similarity))
-    if more.count():
-        roots = components(links.unionByName(more))
+    if not more.isEmpty():
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return rows.select("doc_id", "digest"), store(rooted.select("digest", "node", F.col("first.id").alias("keep_id"), "size", "root"))
 
@@ -271,13 +273,13 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id, class_size and kept of every document; one row of a class is kept."""
     rows, nodes = near_classes(docs, similarity)
     order = F.struct(F.col("keep_id").isNull().alias("last"), F.col("keep_id").alias("id"), F.col("node").alias("node"))
-    whole = store(nodes.groupBy("root").agg(F.min(order).alias("first"), F.sum("size").alias("class_size"), F.count("*").alias("n")))
-    by_node = store(join_groups(nodes, whole, ["root"], "n", nodes.count()).select("digest", "node", "size", "first", "class_size"))
+    whole = store(nodes.groupBy("root").agg(F.min(order).alias("first"), F.sum("size").alias("class_size")))
+    by_node = nodes.join(whole, "root").select("digest", "node", "first", "class_size")
     numbered = store(rows.withColumn("row", F.monotonically_increasing_id()))
     same_id = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), "row")).alias("own")
     firsts = numbered.groupBy("digest").agg(same_id).select("digest", F.col("own.row").alias("own_row"))
     by_node = store(by_node.join(firsts, "digest"))
-    met = join_groups(numbered, by_node, ["digest"], "size", numbered.count())
+    met = numbered.join(by_node, "digest")
     kept = (F.col("row") == F.col("own_row")) & (F.col("node") == F.col("first.node"))
     return met.select("doc_id", F.col("first.id").alias("class_id"), "class_size", kept.alias("kept"))
 
@@ -287,7 +289,7 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     _, nodes = near_classes(docs, similarity)
     order = F.struct(F.col("keep_id").isNull().alias("last"), F.col("keep_id").alias("id"), F.col("node").alias("node"))
     whole = store(nodes.groupBy("root").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1"))
-    gone = join_groups(nodes, whole, ["root"], "n", nodes.count()).where(F.col("node") != F.col("first.node")).select("digest")
+    gone = nodes.join(whole, "root").where(F.col("node") != F.col("first.node")).select("digest")
     digest = F.unhex(F.md5(F.trim(one_space(text_of("text")))))
     whole_row = F.struct(*(F.col(c) for c in docs.columns))
     rows = docs.select(digest.alias("digest"), F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text")).alias("order"), whole_row.alias("whole"))
