@@ -13,9 +13,10 @@ SIZE, not the text.
 
 Bands of ROWS values give bucket keys. At a similarity of 0.8, no bucket is shared with probability
 (1 - 0.8**4)**24 = 3e-6. Texts that are equal up to white space are one node from the start. In a bucket, each node is
-compared with the bucket's first node; after connecting what overlaps, nodes of a bucket that are still in different
-classes are compared with the bucket's other classes, so every pair that shares a bucket is
-compared or already connected. There is no cap on buckets or partners, and no pairs within one class.
+compared with the bucket's first node. After connecting what overlaps, the nodes of buckets that still hold several
+classes are compared across classes, where they share one of their rarest shingles: an exact condition
+for the overlap, which texts with a frequent passage in common don't meet. So every pair that shares a bucket and overlaps is
+connected. There is no cap on buckets or partners, and no pairs within one class.
 
 Defined cases: null text counts as empty; texts without words are one class. A class's id is the
 smallest id in it, nulls last; repeated rows are in one class and one of them is kept. Empty tables
@@ -29,7 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plaintlens.llm.common import one_space, store, text_of
@@ -224,6 +225,46 @@ def _comparable(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.where(smaller >= larger * similarity).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _across(texts: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of nodes with different roots that may overlap enough, by their rarest shingles.
+
+    Two multisets that overlap by s share one of the w - ceil(s w) + 1 rarest members of each, in any common
+    order of rarity. So texts that share a frequent passage and little else never meet, however many there are.
+    Members that only one text has decide nothing but how many of the others count. Of each shingle, the rows of its
+    most frequent root meet all others, and never each other.
+    """
+    fields = "node long, root long, weight long, member long"
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first = 0
+            for group in _groups([t.encode() for t in batch["norm"].to_pylist()]):
+                text, hashes, counts = weighted(*shingles(group))
+                copy = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                member = mixed(np.repeat(hashes, counts) + copy.astype(np.uint64) * GOLDEN)
+                rows = pa.array(np.repeat(text, counts) + first)
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch[c].take(rows) for c in ("node", "root", "weight")), pa.array(member.view(np.int64))], ["node", "root", "weight", "member"]
+                )
+                first += len(group)
+
+    listed = store(texts.join(nodes, "node").select("node", "root", "weight", "norm").mapInArrow(members, fields))
+    often = listed.groupBy("member").agg(F.count("*").alias("n"), (F.min("root") != F.max("root")).alias("shared")).where("n > 1")
+    met = store(listed.join(store(often), "member"))
+    by_node = Window.partitionBy("node")
+    place = F.row_number().over(by_node.orderBy("n", "member"))
+    alone = F.col("weight") - F.count("*").over(by_node)
+    counted = F.col("weight") - F.ceil(F.col("weight") * F.lit(similarity) - 1e-9) + 1
+    rare = store(met.withColumn("place", place + alone).where(F.col("place") <= counted).where("shared").select("member", "node", "root", "weight"))
+    by_root = rare.groupBy("member", "root").agg(F.count("*").alias("n"))
+    main = store(by_root.groupBy("member").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1"))
+    open_rows = store(rare.join(main.select("member", F.col("top.root").alias("main")), "member"))
+    strays = store(open_rows.where("root != main").select("member", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("weight").alias("weight_a")))
+    others = open_rows.select("member", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("weight").alias("weight_b"), "main")
+    once = (F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b"))
+    return strays.join(others, "member").where((F.col("root_a") != F.col("root_b")) & once)
+
+
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, digest) and nodes (digest, node, keep_id, size, weight, root) of all documents."""
     rows = store(signed(docs))
@@ -244,14 +285,10 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
 
     # what shares a bucket and is not connected yet
     labelled = members.select("key", "node", "weight").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    parts = store(labelled.groupBy("key", "root").agg(F.count("*").alias("n")))
-    divided = parts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1")
-    divided = store(divided.select("key", F.col("main.root").alias("main")))
-    open_rows = store(labelled.join(divided, "key"))
-    strays = open_rows.where("root != main").select("key", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("weight").alias("weight_a"))
-    others = open_rows.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("weight").alias("weight_b"), "main")
-    apart = strays.join(others, "key").where((F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b"))))
-    second = store(_comparable(apart, similarity).join(first, ["a", "b"], "left_anti"))
+    labelled = store(labelled)
+    divided = labelled.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least != most")
+    apart = store(labelled.join(store(divided.select("key")), "key", "left_semi").select("node", "root", "weight").distinct())
+    second = store(_comparable(_across(texts, apart, similarity), similarity).join(first, ["a", "b"], "left_anti"))
     more = store(_verified(second, texts, similarity))
     if not more.isEmpty():
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
