@@ -1,11 +1,11 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from oracle.sql import ORACLE
+from plaintlens.plans.queries import QUERIES
 from tests.compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
