@@ -78,6 +78,14 @@ def in_fold(doc_id: Column, parts: int, which: int) -> Column:
     return F.coalesce(fold(doc_id, parts) == which, F.lit(False))
 
 
+def whose(doc_id: Column, content: Column) -> Column:
+    """An id, null or not, and a content hash as one string.
+
+    Never null and of one type everywhere, so that a grouping and a join by it deal rows out alike.
+    """
+    return F.concat_ws("|", content.cast("string"), doc_id.cast("string"))
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
     """Inner join of rows with one row per group, whatever the share of the largest group.
 

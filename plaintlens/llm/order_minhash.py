@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plaintlens.llm.common import store, text_of
+from plaintlens.llm.common import store, text_of, whose
 
 PIECE = 16
 RUN = 3
@@ -111,18 +111,22 @@ def likeness(one: Column, other: Column) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(*entries)) / either)
 
 
+def _identity() -> Column:
+    """What rows are ordered by: id, nulls first, then content."""
+    return F.struct("doc_id", F.xxhash64(text_of("text")).alias("content"))
+
+
 def _ordered(docs: DataFrame) -> DataFrame:
-    """Each row's key (doc_id, content), length, place, and its next row's key and place, by ascending key.
+    """Each row's key (identity and place), length, and its next row's key, by ascending identity.
 
     Rows are dealt to ranges of the order; only the first row of each range is looked at across ranges.
     """
-    content = F.xxhash64(text_of("text"))
-    rows = docs.select("doc_id", content.alias("content"), F.char_length(text_of("text")).cast("long").alias("n_chars"))
+    rows = docs.select(_identity().alias("own"), F.char_length(text_of("text")).cast("long").alias("n_chars"))
     parts = max(1, docs.count() // PART)
-    dealt = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "content")
+    dealt = rows.repartitionByRange(parts, "own")
     dealt = store(dealt.withColumn("part", F.spark_partition_id()))
-    inside = Window.partitionBy("part").orderBy(F.col("doc_id").asc_nulls_first(), "content")
-    key = F.struct("doc_id", "content", "part", "place")
+    inside = Window.partitionBy("part").orderBy("own")
+    key = F.struct("own", "part", "place")
     placed = dealt.withColumn("place", F.row_number().over(inside)).withColumn("key", key)
     placed = placed.withColumn("following", F.lead("key").over(inside))
     firsts = placed.where("place = 1").select("part", "key")
@@ -140,11 +144,11 @@ def edited(docs: DataFrame) -> DataFrame:
     what moves besides is the part of the next text that is needed.
     """
     order = _ordered(docs)
-    texts = docs.select(F.col("doc_id").alias("t_id"), F.xxhash64(text_of("text")).alias("t_content"), text_of("text").alias("text"))
-    texts = texts.groupBy("t_id", "t_content").agg(F.any_value("text").alias("text"))
+    texts = docs.select(whose(F.col("doc_id"), F.xxhash64(text_of("text"))).alias("whose"), text_of("text").alias("text"))
+    texts = texts.groupBy("whose").agg(F.any_value("text").alias("text"))
 
     def of(key: str) -> Column:
-        return F.col(f"{key}.doc_id").eqNullSafe(F.col("t_id")) & (F.col(f"{key}.content") == F.col("t_content"))
+        return whose(F.col(f"{key}.own.doc_id"), F.col(f"{key}.own.content")) == F.col("whose")
 
     half = F.expr("n_chars div 2").cast("int")
     heads = order.join(texts, of("following")).select("key", "n_chars", "following", F.substring("text", F.lit(1), half).alias("head"))
@@ -166,7 +170,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     others = made.select(F.col("key.part").alias("n_part"), F.col("key.place").alias("n_place"), F.col("fingerprint").alias("next_fingerprint"))
     met = made.join(others, (F.col("following.part") == F.col("n_part")) & (F.col("following.place") == F.col("n_place")))
     return met.select(
-        F.col("key.doc_id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        F.col("key.own.doc_id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
     )

@@ -117,7 +117,7 @@ def signed(x: int) -> int:
 def fingerprint(text: str) -> str:
     pieces = re.findall(r"[^\x20\x09-\x0D]{1,16}", text)
     hashes = [h64(p.encode(), 42) for p in pieces]
-    runs = [chain(*hashes[k : k + 3]) for k in range(len(hashes) - 2)] if len(hashes) >= 3 else ([chain(*hashes)] if hashes else [])
+    runs = [chain(chain(*hashes[k : k + 2]), hashes[k + 2]) for k in range(len(hashes) - 2)] if len(hashes) >= 3 else ([chain(*hashes)] if hashes else [])
     seen, found = Counter(), []
     for place, run in enumerate(runs):
         value = h64(seen[run].to_bytes(4, "little"), chain(run))
