@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plaintlens.llm.common import one_space, store, text_of, word_count
+from plaintlens.llm.common import one_space, store, text_of, whose, word_count
 
 BLOCK = 64
 SHARD = 1024
@@ -159,13 +159,13 @@ def mixed_documents(docs: DataFrame, seed: int = 0, block: int = BLOCK, **target
     joined = pieces(layout.rows, block).join(drawn.hint("merge"), ["sid", "block"])
     parts = joined.groupBy("doc_id", "content", "copy", "pass", "size").agg(
         F.sort_array(F.collect_list(F.struct("first", "words"))).alias("__parts"), F.sum("words").alias("__taken")
-    ).select(F.col("doc_id").alias("__id"), F.col("content").alias("__of"), "__parts", (F.col("__taken") == F.col("size")).alias("__all"))
+    ).select(whose(F.col("doc_id"), F.col("content")).alias("__of"), "__parts", (F.col("__taken") == F.col("size")).alias("__all"))
 
     content = F.xxhash64(*(F.col(c) for c, kind in docs.dtypes if not kind.startswith("map")))
     whole = F.struct(*(F.col(c) for c in docs.columns))
-    texts = docs.select(F.col("doc_id").alias("__doc"), content.alias("__content"), whole.alias("__whole"))
-    texts = texts.groupBy("__doc", "__content").agg(F.any_value("__whole").alias("__whole"))
-    met = texts.join(parts.hint("merge"), F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__content") == F.col("__of")))
+    texts = docs.select(whose(F.col("doc_id"), content).alias("__own"), whole.alias("__whole"))
+    texts = texts.groupBy("__own").agg(F.any_value("__whole").alias("__whole"))
+    met = texts.join(parts.hint("merge"), F.col("__own") == F.col("__of"))
     words = F.split(F.trim(one_space(text_of("__whole.text"))), " ")
     met = met.withColumn("__words", F.when(~F.col("__all"), words))
     cut = F.transform("__parts", lambda p: F.array_join(F.slice("__words", p["first"].cast("int") + 1, p["words"].cast("int")), " "))
