@@ -157,28 +157,29 @@ oracle(
             {ratio(n('d.fdic_top_holder is not null'), 'count(*)', 3)} as fdic_fill_rate
         from fact f left join companies d using (company_sk), (select count(*) as total from fact) t
         group by f.category""",
-    match_rate="""
+    match_rate=f"""
         select count(*) as distinct_names, cast(sum(w) as bigint) as total_complaints,
             count(*) filter (where h) as matched_top_holder,
             cast(sum(case when h then w else 0 end) as bigint) as complaints_matched_top_holder,
-            count(*) filter (where x) as matched_crosswalk,
-            cast(sum(case when x then w else 0 end) as bigint) as complaints_matched_crosswalk,
-            count(*) filter (where h or x) as matched_either,
-            cast(sum(case when h or x then w else 0 end) as bigint) as complaints_matched_either
-        from (select company_name_normalized, count(*) as w,
-                  company_name_normalized in (select top_holder from banks where top_holder is not null) as h,
-                  company_name_normalized in (select raw_company_name from crosswalk) as x
-              from names group by company_name_normalized)""",
+            count(*) filter (where i) as matched_institution,
+            cast(sum(case when i then w else 0 end) as bigint) as complaints_matched_institution,
+            count(*) filter (where h or i) as matched_either,
+            cast(sum(case when h or i then w else 0 end) as bigint) as complaints_matched_either
+        from (select company_name, count(*) as w,
+                  upper({trim('company_name')}) in (select upper({trim('top_holder')}) from banks where top_holder is not null) as h,
+                  upper({trim('company_name')}) in (select upper({trim('institution_name')}) from banks where institution_name is not null) as i
+              from raw where company_name is not null group by company_name)""",
     match_status="""
         select canonical_name, fdic_top_holder,
             case when fdic_top_holder in (select top_holder from banks where top_holder is not null)
                  then 'match' else 'no match' end as join_status
         from companies where category = 'bank'""",
-    unmatched_top="""
-        select company_name_normalized, count(*) as complaints from names
-        where company_name_normalized not in (select top_holder from banks where top_holder is not null)
-          and company_name_normalized not in (select raw_company_name from crosswalk)
-        group by all order by complaints desc, company_name_normalized limit 50""",
+    unmatched_top=f"""
+        select company_name, count(*) as complaints from raw
+        where company_name is not null
+          and upper({trim('company_name')}) not in (select upper({trim('top_holder')}) from banks where top_holder is not null)
+          and upper({trim('company_name')}) not in (select upper({trim('institution_name')}) from banks where institution_name is not null)
+        group by all order by complaints desc, company_name limit 50""",
     suffix_match_report=f"""
         , wanted as (
             select canonical_name, fdic_top_holder || ', Inc.' as crosswalk_fdic_top_holder from companies
@@ -270,6 +271,14 @@ oracle(
         from spine s left join (
             select date_received, count(*) as complaint_count from fact
             where company_name_normalized = 'NATION 22 HOLDINGS' group by all) c on s.date_day = c.date_received""",
+    metric_over_spine_by="""
+        , counted as (
+            select product_category, cast(date_trunc('month', date_received) as date) as period, count(*) as complaint_count
+            from fact where company_name_normalized = 'NATION 22 HOLDINGS' group by all)
+        select k.product_category, s.period, c.complaint_count
+        from (select distinct product_category from counted) k
+        cross join (select distinct cast(date_trunc('month', date_day) as date) as period from spine) s
+        left join counted c on c.product_category is not distinct from k.product_category and c.period = s.period""",
 )
 
 # checks
@@ -396,6 +405,28 @@ oracle(
     scd2_merge=VERSIONS,
     scd2_as_of=VERSIONS + """
     where valid_from <= date '2020-12-31' and (valid_to is null or valid_to > date '2020-12-31')""",
+    company_history=f"""
+        , x as (select * from ({crosswalk('raw_names')})),
+        feeds as (
+            select *, case when category = 'fintech' then canonical_name || ' Digital' else canonical_name end as name_2,
+                case when category = 'bank' then 'regional bank' else category end as category_2,
+                case when parent_as_of is null then fdic_top_holder end as holder_3
+            from x),
+        changes as (
+            select *, name_2 is distinct from canonical_name as at_2, holder_3 is distinct from fdic_top_holder as at_3
+            from feeds),
+        versions as (
+            select raw_company_name, canonical_name, category, fdic_top_holder, parent_as_of, date '2020-01-01' as valid_from,
+                case when at_2 then date '2021-01-01' when at_3 then date '2022-01-01' end as valid_to from changes
+            union all
+            select raw_company_name, name_2, category_2, fdic_top_holder, parent_as_of, date '2021-01-01',
+                case when at_3 then date '2022-01-01' end from changes where at_2
+            union all
+            select raw_company_name, name_2, category_2, holder_3, parent_as_of, date '2022-01-01', null
+            from changes where at_3)
+        select *, coalesce(valid_to, valid_from) as updated_at,
+            md5(raw_company_name || '|' || valid_from || ' 00:00:00') as row_id
+        from versions""",
     known_rebrands=f"select * from ({crosswalk('raw_names')}) where parent_as_of is not null",
     upsert_lookback="""
         , e as (select event_id, cast(ts as date) as day, event_type, value, 1 as version from events),

@@ -37,27 +37,33 @@ def scd2_merge(
     A key whose `check_cols` differ (null-safe) closes its open row and opens a new one; a new
     key opens a row; keys missing from `incoming` and changes outside `check_cols` leave the
     history as it is. Merging the same input again changes nothing. Keys must be unique in
-    `incoming` (see checks.unique).
+    `incoming` (see checks.unique). Incoming rows without a key identify nothing and are left out.
+    Columns that only one side has are kept, NULL where the other side's rows lack them.
     """
     at = _moment(as_of)
     columns = incoming.columns
+    incoming = incoming.where(F.col(key).isNotNull())
     if history is None:
         return incoming.select(*[c.alias(name) for name, c in _opened(columns, key, at).items()])
 
-    names = history.columns
-    current = history.where(F.col("valid_to").isNull())
-    new = incoming.select(*[F.col(c).alias(f"new_{c}") for c in columns])
+    kinds = {**dict(incoming.dtypes), **dict(history.dtypes)}
+    names = [*history.columns, *(c for c in columns if c not in history.columns)]
+    history = history.select("*", *(F.lit(None).cast(kinds[c]).alias(c) for c in names if c not in history.columns))
+    current = history.where(F.col("valid_to").isNull()).withColumn("__old", F.lit(True))
+    new = incoming.select(*[F.col(c).alias(f"new_{c}") for c in columns], F.lit(True).alias("__new"))
     pairs = current.join(new, F.col(key) == F.col(f"new_{key}"), "full_outer")
 
     old = {c: F.col(c) for c in names}
+    absent = {c: F.lit(None).cast(kinds[c]) for c in names}
     old_row = _row(old, names)
     closed_row = _row({**old, "valid_to": at, "updated_at": at}, names)
-    new_row = _row(_opened(columns, key, at, "new_"), names)
-    changed = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"new_{c}")) for c in check_cols])
+    new_row = _row({**absent, **_opened(columns, key, at, "new_")}, names)
+    differs = [~F.col(c).eqNullSafe(F.col(f"new_{c}") if c in columns else absent[c]) for c in check_cols]
+    changed = reduce(lambda a, b: a | b, differs)
 
     rows = (
-        F.when(F.col(f"new_{key}").isNull(), F.array(old_row))
-        .when(F.col(key).isNull(), F.array(new_row))
+        F.when(F.col("__new").isNull(), F.array(old_row))
+        .when(F.col("__old").isNull(), F.array(new_row))
         .when(changed, F.array(closed_row, new_row))
         .otherwise(F.array(old_row))
     )

@@ -193,6 +193,7 @@ def _change(values: DataFrame, spec: Change, name: str, by: Sequence[str], grain
     )
     paired = (
         values.select(*by, F.inline(both))
+        .where(F.col("period").isNotNull() | F.col("prior").isNull())  # no period, no later one
         .groupBy(*by, "period")
         .agg(F.max("current").alias("current"), F.max("prior").alias("prior"))
         .where(F.col("current").isNotNull())
@@ -200,8 +201,18 @@ def _change(values: DataFrame, spec: Change, name: str, by: Sequence[str], grain
     return paired.select(*by, "period", ratio(F.col("current") - F.col("prior"), F.col("prior")).alias(name))
 
 
-def over_spine(values: DataFrame, spine: DataFrame, grain: str) -> DataFrame:
-    """Every period of the date spine, with NULL values where the metric has none."""
+def over_spine(values: DataFrame, spine: DataFrame, grain: str, by: Sequence[str] = ()) -> DataFrame:
+    """Every period of the date spine, with NULL values where the metric has none.
+
+    With `by`, every combination of dimension values that occurs gets every period. The periods are one
+    array, as long as the calendar, that each combination unfolds.
+    """
     day = F.col("date_day")
     periods = spine.select((day if grain == "day" else F.trunc(day, grain)).alias("period")).distinct()
-    return periods.join(values, "period", "left")
+    if not by:
+        return periods.join(values, "period", "left")
+    all_periods = periods.agg(F.sort_array(F.collect_set("period"))).scalar()
+    cells = values.select(*by).distinct().withColumn("period", F.explode(all_periods))
+    renamed = values.select(*[F.col(c).alias(f"__{c}") for c in (*by, "period")], *[c for c in values.columns if c not in (*by, "period")])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in (*by, "period")])
+    return cells.join(renamed, same, "left").drop(*(f"__{c}" for c in (*by, "period")))

@@ -70,8 +70,9 @@ def distribution(df: DataFrame, col: str, date: str | None = None, digits: int =
     if date is not None:
         aggs += [F.min(date).alias("first_seen"), F.max(date).alias("last_seen")]
     per_value = df.groupBy(col).agg(*aggs)
-    total = per_value.agg(F.sum("n"))
-    return per_value.withColumn("pct", percent(F.col("n"), total.scalar(), digits))
+    # the total keeps all aggregates, so that it is taken from the same exchange instead of a second read
+    total = per_value.agg(F.struct(F.sum("n").alias("n"), *(F.max(c) for c in per_value.columns if c != "n")).alias("t"))
+    return per_value.withColumn("pct", percent(F.col("n"), total.scalar().getField("n"), digits))
 
 
 def value_counts(df: DataFrame, cols: Sequence[str], null_label: str | None = "(null)") -> DataFrame:
@@ -268,9 +269,9 @@ def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
 def frequent_crosstab(df: DataFrame, a: str, b: str, min_rows: int) -> DataFrame:
     """Cross-tab of the values of `b` that have at least `min_rows` rows.
 
-    Counted once per pair; frequent values are then found on the pair counts.
+    Counted once per pair; frequent values are then found on the pair counts. NULL of `b` is no value.
     """
-    pairs = crosstab(df, a, b)
+    pairs = crosstab(df.where(F.col(b).isNotNull()), a, b)
     big = pairs.groupBy(b).agg(F.sum("complaints").alias("__n")).where(F.col("__n") >= min_rows).select(b)
     return pairs.join(big, b, "left_semi")
 

@@ -339,11 +339,10 @@ def entity_coverage(spark, sf):
 
 @query
 def match_rate(spark, sf):
-    refs = {
-        "top_holder": (bank_rows(spark, sf), "top_holder"),
-        "crosswalk": (models(spark, sf).crosswalk, "raw_company_name"),
-    }
-    return entity.match_rate(names(spark, sf), refs, "company_name_normalized")
+    """All complaints, raw names against top holders and institution names."""
+    banks = bank_rows(spark, sf)
+    refs = {"top_holder": (banks, "top_holder"), "institution": (banks, "institution_name")}
+    return entity.match_rate(raw(spark, sf), refs, "company_name")
 
 
 @query
@@ -355,8 +354,8 @@ def match_status(spark, sf):
 
 @query
 def unmatched_top(spark, sf):
-    refs = [(bank_rows(spark, sf), "top_holder"), (models(spark, sf).crosswalk, "raw_company_name")]
-    return entity.unmatched(names(spark, sf), refs, "company_name_normalized", 50)
+    banks = bank_rows(spark, sf)
+    return entity.unmatched(raw(spark, sf), [(banks, "top_holder"), (banks, "institution_name")], "company_name", 50)
 
 
 @query
@@ -478,6 +477,14 @@ def metric_over_spine(spark, sf):
     return over_spine(rare, dims.date_spine_over(raw(spark, sf), "date_received"), "day")
 
 
+@query
+def metric_over_spine_by(spark, sf):
+    """Every month for every product category, also those without complaints."""
+    monthly = metric(complaint_tables(spark, sf), "complaint_count", by=["product_category"], grain="month",
+                     where=F.col("company_name_normalized") == "NATION 22 HOLDINGS")
+    return over_spine(monthly, dims.date_spine_over(raw(spark, sf), "date_received"), "month", ["product_category"])
+
+
 # --- checks -------------------------------------------------------------------------------
 
 
@@ -602,6 +609,22 @@ def scd2_as_of(spark, sf):
     return as_dates(history.scd2_as_of(customer_versions(spark, sf), "2020-12-31 00:00:00"))
 
 
+@query
+def company_history(spark, sf):
+    """Crosswalk versions by canonical name and holder; an edit of the category alone opens none."""
+    first = facts.clean_crosswalk(given.supplier_crosswalk(spark, sf))
+    second = first.withColumns({
+        "canonical_name": F.when(F.col("category") == "fintech", F.concat("canonical_name", F.lit(" Digital")))
+                           .otherwise(F.col("canonical_name")),
+        "category": F.when(F.col("category") == "bank", "regional bank").otherwise(F.col("category")),
+    })
+    third = second.withColumn("fdic_top_holder", F.when(F.col("parent_as_of").isNull(), F.col("fdic_top_holder")))
+    checked, kept = ["canonical_name", "fdic_top_holder"], None
+    for feed, at in ((first, "2020-01-01"), (second, "2021-01-01"), (third, "2022-01-01")):
+        kept = history.scd2_merge(kept, feed, "raw_company_name", checked, f"{at} 00:00:00")
+    return as_dates(kept)
+
+
 @query
 def known_rebrands(spark, sf):
     return history.known_changes(facts.clean_crosswalk(given.supplier_crosswalk(spark, sf)))

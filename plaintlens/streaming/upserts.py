@@ -33,8 +33,10 @@ def upsert_table(delta: DataFrame, table: str, key: str, time_col: str, days: in
     """Overwrite or add the recent rows of `delta`, rewriting only the months they touch.
 
     A month is touched when a delta row lies in it or when it holds a row that a delta row
-    replaces; only the list of those months comes to the driver. Columns new in the delta are
-    added to the table. Applying the same delta twice gives the same table.
+    replaces; only the list of those months comes to the driver. Rows without a date are a month
+    of their own. Columns new in the delta are added to the table. Applying the same delta twice
+    gives the same table, also when the first run ended between writing and dropping emptied months:
+    replaced copies that were left there are found, and dropped, by the next.
     """
     spark = delta.sparkSession
     _add_missing_columns(delta, table)
@@ -45,7 +47,9 @@ def upsert_table(delta: DataFrame, table: str, key: str, time_col: str, days: in
         months = [r[0] for r in recent.select(month_of(time_col)).union(replaced).distinct().collect()]
         if not months:
             return
-        touched = existing.where(F.col(MONTH).isin(months)).drop(MONTH)
+        dated = [m for m in months if m is not None]
+        undated = F.col(MONTH).isNull() if None in months else F.lit(False)
+        touched = existing.where(F.col(MONTH).isin(dated) | undated).drop(MONTH)
         merged = (
             touched.join(recent.select(key), key, "left_anti")
             .unionByName(recent, allowMissingColumns=True)
@@ -61,7 +65,8 @@ def upsert_table(delta: DataFrame, table: str, key: str, time_col: str, days: in
         )
         # a month whose last row moved elsewhere has no new data to overwrite it with
         for month in set(months) - kept:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({MONTH} = DATE'{month}')")
+            spec = "NULL" if month is None else f"DATE'{month}'"
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({MONTH} = {spec})")
     finally:
         recent.unpersist()
 

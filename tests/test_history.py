@@ -40,6 +40,19 @@ def test_scd2_repeat_changes_nothing_and_missing_keys_stay(versions):
     assert same(without, merged)
 
 
+def test_scd2_leaves_out_null_keys_and_keeps_new_columns(versions, spark):
+    opened, _, second = versions
+    null_key = spark.createDataFrame([(None, "N", "h", "x")], SCHEMA)
+    merged = history.scd2_merge(opened, second.unionByName(null_key), "k", ["name", "holder"], "2021-01-01")
+    assert same(merged, versions[1])
+    assert history.scd2_merge(None, null_key, "k", ["name"], "2020-01-01").isEmpty()
+
+    wider = second.drop("note").withColumn("extra", F.lit("new"))
+    merged = history.scd2_merge(opened, wider, "k", ["name", "holder", "extra"], "2021-01-01")
+    rows = {(r.k, str(r.valid_from)[:4]): (r.note, r.extra) for r in merged.collect()}
+    assert rows[("a", "2020")] == ("x", None) and rows[("a", "2021")] == (None, "new") and len(rows) == 7
+
+
 def test_scd2_as_of(versions):
     _, merged, _ = versions
     assert sorted(r.name for r in history.scd2_as_of(merged, "2020-06-01").collect()) == ["A", "B", "C"]
@@ -91,6 +104,37 @@ def test_stored_upsert_empties_a_month(spark):
     assert {(r.id, r.v) for r in spark.table("upsert_moved").collect()} == {("1", 10), ("2", 2)}
 
 
+def test_stored_upsert_of_rows_without_a_date(spark):
+    rows = [("1", None, 1, 1), ("2", D(2020, 2, 2), 2, 1), ("3", None, 3, 1)]
+    upserts.create_table(spark.createDataFrame(rows, EVENTS), "upsert_undated", "day")
+    dated = spark.createDataFrame([("1", D(2020, 2, 3), 10, 2)], EVENTS)
+    upserts.upsert_table(dated, "upsert_undated", "id", "day", 7, "version")
+    found = lambda: sorted((r.id, r.v) for r in spark.table("upsert_undated").collect())
+    assert found() == [("1", 10), ("2", 2), ("3", 3)]
+    last = spark.createDataFrame([("3", D(2020, 2, 4), 30, 2)], EVENTS)
+    upserts.upsert_table(last, "upsert_undated", "id", "day", 7, "version")
+    assert found() == [("1", 10), ("2", 2), ("3", 30)]
+
+
+def test_stored_upsert_again_after_a_failure_before_the_drop(spark, monkeypatch):
+    rows = [("1", D(2020, 1, 31), 1, 1), ("2", D(2020, 2, 2), 2, 1)]
+    upserts.create_table(spark.createDataFrame(rows, EVENTS), "upsert_broken", "day")
+    moved = spark.createDataFrame([("1", D(2020, 2, 3), 10, 2)], EVENTS)
+    plain = type(spark).sql
+
+    def failing(self, text, *args, **kwargs):
+        if "DROP IF EXISTS PARTITION" in text:
+            raise RuntimeError("lost")
+        return plain(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    with pytest.raises(RuntimeError):
+        upserts.upsert_table(moved, "upsert_broken", "id", "day", 7, "version")
+    monkeypatch.undo()
+    upserts.upsert_table(moved, "upsert_broken", "id", "day", 7, "version")
+    assert sorted((r.id, r.v) for r in spark.table("upsert_broken").collect()) == [("1", 10), ("2", 2)]
+
+
 def test_stream_of_changes(spark, tmp_path):
     upserts.create_table(spark.createDataFrame(STORED, EVENTS), "upsert_stream", "day")
     spark.createDataFrame(DELTA, EVENTS).write.parquet(str(tmp_path / "in"))
