@@ -40,11 +40,11 @@ from plaintlens.llm.eliasfano import CONTEXT, Trie
 from plaintlens.llm.wordhash import mixed, word_hashes
 
 #: Tokens in a shard, about.
-SHARD = 4_000_000
+SHARD = 2_500_000
 #: How many observations the word's own probability is worth.
 STRENGTH = 100.0
 #: Bytes of text tokenised at once.
-SLICE = 8 << 20
+SLICE = 3 << 20
 END, BEGIN = np.uint64(1), np.uint64(2)
 SUMS = ("n_tokens", "n_known", "base_score", "score")
 
