@@ -38,7 +38,13 @@ def personal(text: str) -> list[tuple[int, int, int]]:
     for kind, pattern in enumerate(PLAIN.values()):
         for m in re.finditer(pattern, text):
             digits = re.sub(r"[^0-9]", "", m[0])
-            good = (True, all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0")[:4] or 0) <= 255 for p in m[0].split(".")), 13 <= len(digits) <= 19 and luhn(digits), 9 <= len(digits) <= 15)[kind]
+            parts = [p.lstrip("0") for p in m[0].split(".")] if kind == 1 else []
+            if kind == 1:
+                good = all(len(p) <= 3 and int(p or 0) <= 255 for p in parts)
+            elif kind == 2:
+                good = 13 <= len(digits) <= 19 and luhn(digits)
+            else:
+                good = kind == 0 or 9 <= len(digits) <= 15
             if good:
                 out.append((kind, *m.span()))
     return out
