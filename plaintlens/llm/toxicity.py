@@ -4,8 +4,8 @@ A bag holds the character n-grams of one word and the word itself, hashed to BUC
 average goes through a linear two-class softmax, so an inflected or misspelt word shares most of its
 vectors with the words it was learned from. A text is as toxic as its most toxic bag: an average over
 all words would bury one slur among thousands of neutral words. Vectors and softmax are
-learned together: first every word takes the label of its texts, then each text teaches through the bag
-that decides it.
+learned together: first every word takes the label of its texts, then each text teaches besides through the
+bag that decides it.
 
 Fitting reads at most SAMPLE labelled rows of each label (those with the smallest hash of their id) and
 their whole texts. Scoring reads every whole text, batch by batch; a batch scores each distinct word once.
@@ -30,7 +30,7 @@ from plaintlens.llm.common import in_fold, text_of
 from plaintlens.llm.wordhash import GOLDEN, mixed
 
 #: Labelled rows of each label used for fitting, at most.
-SAMPLE = 2000
+SAMPLE = 1000
 BUCKETS = 1 << 17
 WIDTH = 4
 GRAMS = (3, 4, 5)
@@ -46,7 +46,7 @@ def words_of(texts: pa.Array) -> pa.ListArray:
 
 
 def grams_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of every gram of the words, and where each word's grams begin. Every word has some."""
+    """Bucket and word of every gram of the words, in no particular order. Every word has some."""
     marked = pc.binary_join_element_wise("<", words.cast(pa.string()), ">", "").cast(pa.large_binary())
     _, offsets, data = marked.buffers()
     ends = np.frombuffer(offsets, np.int64)[marked.offset : marked.offset + len(marked) + 1]
@@ -60,17 +60,14 @@ def grams_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     for n in range(1, max(GRAMS) + 1):
         rolling = rolling[: len(raw) - n + 1] * prime + raw[n - 1 :]
         if n in GRAMS:
-            whole = left[: len(rolling)] >= n
-            of_word.append(word[: len(rolling)][whole])
-            bucket.append(rolling[whole] + np.uint64(n))
+            whole = np.flatnonzero(left[: len(rolling)] >= n)
+            of_word.append(word[whole])
+            bucket.append((mixed(rolling[whole] + np.uint64(n)) % np.uint64(BUCKETS)).astype(np.int32))
     place = np.arange(len(raw)) - np.repeat(ends[:-1], length)
     places = mixed(raw + place.astype(np.uint64) * GOLDEN)
     of_word.append(np.arange(len(length)))
-    bucket.append(np.add.reduceat(places, ends[:-1]) if len(length) else places)
-    of_word, bucket = np.concatenate(of_word), mixed(np.concatenate(bucket)) % np.uint64(BUCKETS)
-    order = np.argsort(of_word, kind="stable")
-    counts = np.bincount(of_word, minlength=len(length))
-    return bucket[order].astype(np.int32), np.concatenate([[0], np.cumsum(counts)])
+    bucket.append((mixed(np.add.reduceat(places, ends[:-1]) if len(length) else places) % np.uint64(BUCKETS)).astype(np.int32))
+    return np.concatenate(bucket), np.concatenate(of_word)
 
 
 class Model:
@@ -83,8 +80,8 @@ class Model:
         """Log odds of each word's bag."""
         if not len(words):
             return np.zeros(0, np.float32)
-        buckets, starts = grams_of(words)
-        return np.add.reduceat(self.per_bucket[buckets], starts[:-1]) / np.diff(starts) + self.bias
+        buckets, word = grams_of(words)
+        return np.bincount(word, self.per_bucket[buckets], len(words)) / np.bincount(word, minlength=len(words)) + self.bias
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         """Probability of label 1 for each text."""
@@ -118,9 +115,8 @@ def fitted(lists: pa.ListArray, labels: np.ndarray, weights: np.ndarray, seed: i
     text = np.repeat(np.arange(len(sizes)), sizes)
     full = sizes > 0
     starts = (np.cumsum(sizes) - sizes)[full]
-    buckets, bounds = grams_of(words)
-    grams = np.diff(bounds)
-    of_gram = np.repeat(np.arange(len(words)), grams)
+    buckets, of_gram = grams_of(words)
+    grams = np.bincount(of_gram, minlength=len(words))
     toxic = np.bincount(ids, (labels * weights)[text], len(words))
     clean = np.bincount(ids, ((1 - labels) * weights)[text], len(words))
 
@@ -128,23 +124,21 @@ def fitted(lists: pa.ListArray, labels: np.ndarray, weights: np.ndarray, seed: i
     vectors = random.normal(0, 0.05, (BUCKETS, WIDTH)).astype(np.float32)
     softmax = random.normal(0, 0.5, WIDTH)
     bias = float(np.log((labels @ weights + 0.5) / ((1 - labels) @ weights + 0.5)))
-    for rounds, rate, by_text in ((30, 0.1, False), (60, 0.05, True)):
+    for rounds, rate, by_text in ((60, 0.1, False), (90, 0.05, True)):
         steps = [_Adam(rate), _Adam(rate), _Adam(rate)]
         for _ in range(rounds):
             per_bucket = vectors @ softmax
             z = np.bincount(of_gram, per_bucket[buckets], len(words)) / grams + bias
             p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+            error = (p * (toxic + clean) - toxic) / (toxic + clean).sum() * (0.3 if by_text else 1.0)
             if by_text:
                 each = z[ids]
                 most = np.maximum.reduceat(each, starts)
                 decides = np.flatnonzero(each == np.repeat(most, sizes[full]))
                 one = decides[np.unique(text[decides], return_index=True)[1]]
-                error = np.bincount(ids[one], weights[text[one]] * (p[ids[one]] - labels[text[one]]), len(words))
-                error /= weights.sum()
-            else:
-                error = (p * (toxic + clean) - toxic) / (toxic + clean).sum()
+                error += np.bincount(ids[one], weights[text[one]] * (p[ids[one]] - labels[text[one]]), len(words)) / weights.sum()
             per_gram = np.bincount(buckets, (error / grams)[of_gram], BUCKETS)
-            to_vectors = np.outer(per_gram, softmax).astype(np.float32) + 1e-6 * vectors
+            to_vectors = np.outer(per_gram, softmax).astype(np.float32) + 1e-5 * vectors
             to_softmax = vectors.T @ per_gram + 1e-5 * softmax
             vectors -= steps[0].step(to_vectors)
             softmax -= steps[1].step(to_softmax)
