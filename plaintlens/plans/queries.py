@@ -5,7 +5,6 @@ Each takes (spark, sf_dir) and returns a lazy DataFrame over whole tables.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -18,9 +17,9 @@ from plaintlens.operators import checks, dims, entity, facts, history, marts, pr
 from plaintlens.operators.lookup import apply_mapping
 from plaintlens.operators.metrics import metric, over_spine
 from plaintlens.plans import given
-from plaintlens.plans.build import model_checks, store
+from plaintlens.plans.build import model_checks
 from plaintlens.plans.given import models, table
-from plaintlens.session import checkpoint_dir, cut, tune
+from plaintlens.session import tune
 from plaintlens.sources.tables import describe_schema, materialize_lean
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -390,9 +389,9 @@ def name_union(spark, sf):
 
 
 def metric_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """The fact and the bank mart. The mart is a stored table, one row per bank, used several times."""
+    """The fact and the bank mart, both lazy; callers with stored models pass those instead."""
     m = models(spark, sf)
-    return {"complaints": m.fact, "banks": cut(m.bank_metrics)}
+    return {"complaints": m.fact, "banks": m.bank_metrics}
 
 
 def complaint_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -568,14 +567,10 @@ def check_grain(spark, sf):
 
 @query
 def check_summary(spark, sf):
-    """All checks on stored models where there is a shared folder: the raw feed is cleaned once."""
-    folder = checkpoint_dir(spark)
-    if folder is None:
-        built = models(spark, sf)
-    else:
-        inputs = given.GivenInputs(spark, sf)
-        built = store(spark, inputs, f"{folder}/plaintlens-{uuid.uuid4().hex}", given.SETTINGS)
-    return checks.run_checks(model_checks(built))
+    """All checks over the model graph, in one job. Nothing is written; `plans.build.store` is for callers
+    who want the checks, or anything else, over stored models.
+    """
+    return checks.run_checks(model_checks(models(spark, sf)))
 
 
 # --- history ------------------------------------------------------------------------------

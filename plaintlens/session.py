@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -24,9 +24,13 @@ RUNTIME = [
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings that may change at run time to a session someone else created."""
+    """Apply the settings that may change at run time to a session someone else created.
+
+    Only where they are not what is wanted already: sessions from `build_session` are left as they are.
+    """
     for key in RUNTIME:
-        spark.conf.set(key, SETTINGS[key])
+        if spark.conf.get(key) != SETTINGS[key]:
+            spark.conf.set(key, SETTINGS[key])
     return spark
 
 
@@ -35,21 +39,3 @@ def build_session(app: str = "plaintlens", **extra: str) -> SparkSession:
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The folder all executors share, as the cluster names it, or None."""
-    return spark.conf.get("spark.checkpoint.dir", None)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Store a small intermediate result in the shared folder, so that several uses compute it once
-    and a lost executor does not bring its lineage back. Without such a folder the result stays lazy.
-    """
-    folder = checkpoint_dir(df.sparkSession)
-    if folder is None:
-        return df
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
