@@ -58,7 +58,6 @@ PREVIEW_ASSET_LABELS = [
     "mega (>$250B)", "large ($50B-$250B)", "mid ($10B-$50B)", "regional ($1B-$10B)", "community (<$1B)",
 ]
 BRANCHLESS_BELOW = 50
-ANALYSIS_ERA_CUTS = ["2015-01-01", "2020-01-01"]
 ANALYSIS_ERA_LABELS = ["pre_2015", "2015_2019", "2020_plus"]
 GROUP_SIZE_CUTS = [1, 5, 20, 100, 1000]
 GROUP_SIZE_LABELS = ["1", "2-5", "6-20", "21-100", "101-1000", "1001+"]
