@@ -167,8 +167,11 @@ def mixed_documents(docs: DataFrame, seed: int = 0, block: int = BLOCK, **target
     texts = texts.groupBy("__own").agg(F.any_value("__whole").alias("__whole"))
     met = texts.join(parts.hint("merge"), F.col("__own") == F.col("__of"))
     words = F.split(F.trim(one_space(text_of("__whole.text"))), " ")
-    met = met.withColumn("__words", F.when(~F.col("__all"), words))
-    cut = F.transform("__parts", lambda p: F.array_join(F.slice("__words", p["first"].cast("int") + 1, p["words"].cast("int")), " "))
-    met = met.withColumn("__text", F.when(F.col("__all"), F.col("__whole.text")).otherwise(F.array_join(cut, " ")))
+    # the words of a text are split once, not once for each of its pieces
+    cut = F.transform(
+        F.array(words),
+        lambda all_words: F.transform("__parts", lambda p: F.array_join(F.slice(all_words, p["first"].cast("int") + 1, p["words"].cast("int")), " ")),
+    )
+    met = met.withColumn("__text", F.when(F.col("__all"), F.col("__whole.text")).otherwise(F.array_join(F.flatten(cut), " ")))
     changed = {"text": F.col("__text"), "n_chars": F.char_length("__text").cast(dict(docs.dtypes).get("n_chars", "long"))}
     return met.select(*(changed.get(c, F.col(f"__whole.`{c}`")).alias(c) for c in docs.columns))
