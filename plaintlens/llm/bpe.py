@@ -28,14 +28,14 @@ from pyspark.sql import functions as F
 from plaintlens.llm.common import drop, store, text_of
 
 #: Words in the literal word map, at most, and documents they are counted in, about.
-CACHED = 200_000
-SAMPLE = 12_000
+CACHED = 80_000
+SAMPLE = 8_000
 #: Bits of a token id in a map entry.
 BITS = 17
 #: The rank of a pair that doesn't merge.
 NEVER = 1 << BITS
 #: An empty place of the rank map: never less than NEVER, whatever the left token.
-NOTHING = 1 << 40
+NOTHING = 1 << 34
 #: What Unicode calls white space, for a character class; fixed values.
 WHITE = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
