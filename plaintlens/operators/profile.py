@@ -41,12 +41,26 @@ def shape(
     return df.agg(*aggs)
 
 
-def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def column_profile(
+    df: DataFrame, columns: Sequence[str] | None = None, approx: float | None = None
+) -> DataFrame:
     """Rows, NULLs and distinct values per column, from one scan.
 
     Columns are unpivoted and counted per (column, value) before the per-column totals, so no
-    column's values meet in one task.
+    column's values meet in one task. `approx` (relative error) counts distinct values by sketches,
+    which moves one row per task instead of all values.
     """
+    if approx is not None:
+        names = list(columns or df.columns)
+        sketched = df.agg(F.count("*").alias("rows"), *[
+            agg for i, c in enumerate(names)
+            for agg in (F.count(c).alias(f"filled_{i}"), F.approx_count_distinct(c, approx).alias(f"distinct_{i}"))
+        ])
+        return sketched.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col("rows").alias("n_rows"),
+                     (F.col("rows") - F.col(f"filled_{i}")).alias("n_nulls"), F.col(f"distinct_{i}").alias("n_distinct"))
+            for i, c in enumerate(names)
+        ])))
     cells = F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
         for c in (columns or df.columns)
@@ -142,16 +156,17 @@ def pareto_top(df: DataFrame, key: str, k: int, digits: tuple[int, int] = (3, 2)
     return _percents(ranked, total.scalar(), digits)
 
 
-def pareto(df: DataFrame, key: str, digits: tuple[int, int] = (2, 2)) -> DataFrame:
+def pareto(df: DataFrame, key: str, digits: tuple[int, int] = (2, 2), prefix: int = 3) -> DataFrame:
     """Rank, share and running share of every key, without sorting all keys in one task.
 
     Keys with equal counts rank by the MD5 of the key. Their rank is assembled from three
     windows that each stay small: over the distinct counts (at most sqrt(2 x rows) of them),
-    over the 4096 hash prefixes within a count, and over the keys within a prefix. All rows of a
-    count share its value, so the running sum follows from the rank.
+    over the hash prefixes within a count, and over the keys within a prefix. All rows of a
+    count share its value, so the running sum follows from the rank. `prefix` is the number of hex
+    digits: 16**prefix parts of the keys that share a count, to be chosen by how many there are.
     """
     hashed = counts(df, key).withColumn("__hash", F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))) \
-        .withColumn("__prefix", F.substring("__hash", 1, 3))
+        .withColumn("__prefix", F.substring("__hash", 1, prefix))
     cells = hashed.groupBy("n", "__prefix").agg(F.count("*").alias("keys"))
     by_count = cells.groupBy("n").agg(F.sum("keys").alias("keys"))
     before = W.orderBy(F.desc("n")).rowsBetween(W.unboundedPreceding, -1)

@@ -126,3 +126,13 @@ def test_schema_listing(spark):
     rows = tables.describe_schema({"t": spark.sql("select 1 a, 'x' b")}).orderBy("ordinal_position").collect()
     assert [(r.table_name, r.ordinal_position, r.column_name, r.data_type) for r in rows] == [
         ("t", 1, "a", "int"), ("t", 2, "b", "string")]
+
+
+def test_sketched_profile_and_pareto_width(spark):
+    df = spark.range(2000).selectExpr("id as k", "if(id % 4 = 0, null, id % 10) as v")
+    exact = {r.column_name: r for r in profile.column_profile(df).collect()}
+    for r in profile.column_profile(df, approx=0.02).collect():
+        assert (r.n_rows, r.n_nulls) == (exact[r.column_name].n_rows, exact[r.column_name].n_nulls)
+        assert abs(r.n_distinct - exact[r.column_name].n_distinct) <= 0.1 * exact[r.column_name].n_distinct
+    narrow, wide = (profile.pareto(df, "v", prefix=p) for p in (1, 5))
+    assert narrow.exceptAll(wide).isEmpty() and wide.exceptAll(narrow).isEmpty()
