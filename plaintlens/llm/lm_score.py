@@ -12,7 +12,7 @@ of a word can score them alone: as a word after its context, and as the context
    documents travel in one packed row for each shard.
 3. A shard counts its pairs in the training documents, writes its trie with quantised weights to a
    scratch folder of the task, maps the levels into memory, finds every distinct pair by successor search, and
-   returns each document's share of the scores. Shards hold about SHARD tokens each, so the model has as many
+   returns the documents' shares of the scores, packed in one row for each batch; a batch sums its shares. Shards hold about SHARD tokens each, so the model has as many
    shards as the corpus needs, and no task and no driver ever holds it whole.
 
 Words are known by 64-bit hashes, contexts below a word by 40 bits of theirs.
@@ -120,35 +120,46 @@ def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return words, lengths, context.reshape(-1).view(np.uint64), doc.reshape(-1).view(np.uint32)
 
 
-def _row(shard: int, rows: np.ndarray, learn: np.ndarray, ids: pa.Array, block: bytes | None) -> pa.RecordBatch:
-    """One row of routed data."""
-    lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in (pa.array(rows), pa.array(learn), ids)]
-    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), *lists, pa.array([block], pa.binary())], ["shard", "rows", "learn", "ids", "block"])
+ROUTED = ["shard", "slice", "learn", "ids", "block"]
+
+
+def _row(shard: int, piece: int, learn: np.ndarray, ids: pa.Array | None, kind: pa.DataType, block: bytes | None) -> pa.RecordBatch:
+    """One row of routed data: a slice's ids, or its occurrences in one shard."""
+    listed = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids) if ids is not None else pa.nulls(1, pa.list_(kind))
+    flags = np.array([len(learn)], np.int32).tobytes() + np.packbits(learn).tobytes()
+    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([piece]), pa.array([flags], pa.binary()), listed, pa.array([block], pa.binary())], ROUTED)
+
+
+def _flags(data: bytes) -> np.ndarray:
+    """Which documents of a slice are learned from."""
+    return np.unpackbits(np.frombuffer(data, np.uint8, offset=4))[: int(np.frombuffer(data, np.int32, 1)[0])].astype(bool)
 
 
 def _routed(docs: DataFrame, frequent: np.ndarray, shards: int) -> DataFrame:
-    """Packed occurrences by shard, and each slice's ids in a row of their own, in any shard.
+    """Packed occurrences by shard and slice, and each slice's ids in a row of their own, in any shard.
 
-    docs: id, learn, text. Every row gets a number here, in the one read that also packs it, so that
-    the shares of a document find together without its id having to be unique.
+    docs: id, learn, text. A slice is a run of documents that one task packs together. It is named by the number
+    of its first row, given in the one read that also packs it, so that the shares of a document find
+    together by slice and place, without its id having to be unique.
     """
-    schema = f"shard int, rows array<long>, learn array<boolean>, ids array<{dict(docs.dtypes)['id']}>, block binary"
+    schema = f"shard int, slice long, learn binary, ids array<{dict(docs.dtypes)['id']}>, block binary"
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, learn = batch["row"].to_numpy(), np.array(batch["learn"].to_pylist(), bool)
+            kind = batch["id"].type
             for first, group in _slices([t.encode() for t in batch["text"].to_pylist()]):
                 doc, word, context = tokens(group)
                 shard = shard_of(word, context, frequent, shards)
                 context = mixed(context) & np.uint64((1 << CONTEXT) - 1)
                 order = np.lexsort((context, word, shard))
                 cuts = np.flatnonzero(np.diff(shard[order], prepend=-1, append=shards + 1))
-                some = slice(first, first + len(group))
-                yield _row(int(mixed(rows[some][:1].astype(np.uint64))[0] % np.uint64(shards)), rows[some], learn[some], batch["id"][some], None)
+                own = learn[first : first + len(group)]
+                piece = int(rows[first])
+                yield _row(piece % shards, piece, own, batch["id"][first : first + len(group)], kind, None)
                 for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                    own = order[a:b]
-                    there, local = np.unique(doc[own], return_inverse=True)
-                    yield _row(int(shard[own[0]]), rows[first + there], learn[first + there], batch["id"][:0], pack(word[own], context[own], local))
+                    part = order[a:b]
+                    yield _row(int(shard[part[0]]), piece, own, None, kind, pack(word[part], context[part], doc[part]))
 
     return docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(route, schema)
 
@@ -156,23 +167,19 @@ def _routed(docs: DataFrame, frequent: np.ndarray, shards: int) -> DataFrame:
 def score_shard(blocks: pa.Table, frequent: np.ndarray, frequent_counts: np.ndarray, total: int, distinct: int, strength: float) -> pa.Table:
     """Build a shard's trie from its training occurrences and score all its occurrences.
 
-    Returns the ids that came along, and for each row number the tokens, known tokens, and sums of both
-    log probabilities in this shard.
+    Returns the ids that came along, and for each slice one row with the sums of its documents in this shard.
     """
-    named = blocks.filter(pc.is_null(blocks["block"]))
-    ids = named["ids"].combine_chunks().flatten()
-    shares = [_shares(named["rows"].combine_chunks().flatten(), ids, named["learn"].combine_chunks().flatten())]
-    blocks = blocks.filter(pc.is_valid(blocks["block"]))
+    named, blocks = blocks.filter(pc.is_null(blocks["block"])), blocks.filter(pc.is_valid(blocks["block"]))
+    out = [named.select(["slice", "learn", "ids"]).append_column("sums", pa.nulls(named.num_rows, pa.binary()))]
     if not blocks.num_rows:
-        return shares[0]
+        return out[0]
     parts = [unpack(b.as_py()) for b in blocks["block"]]
-    sizes = [len(r) for r in blocks["rows"]]
-    shift = np.cumsum([0, *sizes[:-1]])
-    rows = blocks["rows"].combine_chunks().flatten().to_numpy()
-    learns = blocks["learn"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(bool)
+    flags = [_flags(b.as_py()) for b in blocks["learn"]]
+    shift = np.cumsum([0, *map(len, flags)])
+    learns = np.concatenate(flags)
     words = np.unique(np.concatenate([p[0] for p in parts]))
     number = np.concatenate([np.repeat(np.searchsorted(words, p[0]), p[1]) for p in parts])
-    doc = np.concatenate([p[3] + s for p, s in zip(parts, shift, strict=True)])
+    doc = np.concatenate([p[3] + s for p, s in zip(parts, shift[:-1], strict=True)])
     key = (number.astype(np.uint64) << np.uint64(CONTEXT)) | np.concatenate([p[2] for p in parts])
     del parts
     order = np.argsort(key, kind="stable")  # sorted blocks one after the other: merged, not sorted anew
@@ -201,18 +208,41 @@ def score_shard(blocks: pa.Table, frequent: np.ndarray, frequent_counts: np.ndar
     own = (count + 0.5) / scale
     weight = np.where(np.isnan(weight), np.log10(strength * own)[of_pair], weight)
     each = np.repeat(weight, np.diff(np.append(first, len(key)))) - np.log10(count + strength)[number]
-    n = len(rows)
-    nothing = pa.nulls(n, ids.type), pa.nulls(n, pa.bool_())
-    shares.append(_shares(
-        pa.array(rows), *nothing, np.bincount(doc, minlength=n).astype(np.int64), np.bincount(doc, (count > 0)[number], n).astype(np.int64),
-        np.bincount(doc, np.log10(own)[number], n), np.bincount(doc, each, n),
-    ))
-    return pa.concat_tables(shares)
-
-
-def _shares(rows: pa.Array, ids: pa.Array, learn: pa.Array, *sums: np.ndarray) -> pa.Table:
-    sums = sums or (np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64), np.zeros(len(rows)), np.zeros(len(rows)))
-    return pa.table([rows, ids, learn, *map(pa.array, sums)], names=["row", "id", "learn", *SUMS])
+    n = len(learns)
+    sums = [np.bincount(doc, w, n) for w in (None, (count > 0)[number], np.log10(own)[number], each)]
+    packed = [pack_sums([v[a:b] for v in sums]) for a, b in zip(shift[:-1], shift[1:], strict=True)]
+    out.append(pa.table([blocks["slice"], pa.nulls(blocks.num_rows, pa.binary()), pa.nulls(blocks.num_rows, named["ids"].type), pa.array(packed, pa.binary())], ["slice", "learn", "ids", "sums"]))
+    return pa.concat_tables(out)
+
+
+def pack_sums(sums: list[np.ndarray]) -> bytes:
+    """Tokens, known tokens and both sums of the documents that have any: places first, then each sum."""
+    there = np.flatnonzero(sums[0])
+    kinds = (np.uint32, np.uint32, np.float64, np.float64)
+    body = np.array([len(there)], np.int64).tobytes() + there.astype(np.uint32).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(body + b"".join(v[there].astype(k).tobytes() for v, k in zip(sums, kinds, strict=True)))
+
+
+def unpack_sums(data: bytes) -> tuple[np.ndarray, list[np.ndarray]]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    n, at = int(np.frombuffer(raw, np.int64, 1)[0]), 8
+    out = []
+    for kind in (np.uint32, np.uint32, np.uint32, np.float64, np.float64):
+        out.append(np.frombuffer(raw, kind, n, at))
+        at += n * np.dtype(kind).itemsize
+    return out[0], out[1:]
+
+
+def sum_slice(shares: pa.Table) -> pa.Table:
+    """The documents of one slice, with their sums over all shards."""
+    named, shares = shares.filter(pc.is_null(shares["sums"])), shares.filter(pc.is_valid(shares["sums"]))
+    learn = _flags(named["learn"][0].as_py())
+    totals = [np.zeros(len(learn), kind) for kind in (np.int64, np.int64, np.float64, np.float64)]
+    for data in sorted(s.as_py() for s in shares["sums"]):  # in one order, so that reruns agree to the last bit
+        there, sums = unpack_sums(data)
+        for total, part in zip(totals, sums, strict=True):
+            total[there] += part.astype(total.dtype)
+    return pa.table([named["ids"].combine_chunks().flatten(), pa.array(learn), *map(pa.array, totals)], names=["id", "learn", *SUMS])
 
 
 def scored(docs: DataFrame, strength: float = STRENGTH, shard: int = SHARD) -> DataFrame:
@@ -231,10 +261,10 @@ def scored(docs: DataFrame, strength: float = STRENGTH, shard: int = SHARD) -> D
     def score(blocks: pa.Table) -> pa.Table:
         return score_shard(blocks, frequent, frequent_counts, total, distinct, strength)
 
-    schema = f"row long, id {dict(docs.dtypes)['id']}, learn boolean, n_tokens long, n_known long, base_score double, score double"
-    shares = _routed(docs, frequent, shards).groupBy("shard").applyInArrow(score, schema)
-    found = shares.groupBy("row").agg(F.max("id").alias("id"), F.max("learn").alias("learn"), *(F.sum(c).alias(c) for c in SUMS))
-    return found.drop("row").withColumn("train_tokens", F.lit(int(total)).cast("long"))
+    kind = dict(docs.dtypes)["id"]
+    shares = _routed(docs, frequent, shards).groupBy("shard").applyInArrow(score, f"slice long, learn binary, ids array<{kind}>, sums binary")
+    schema = f"id {kind}, learn boolean, n_tokens long, n_known long, base_score double, score double"
+    return shares.groupBy("slice").applyInArrow(sum_slice, schema).withColumn("train_tokens", F.lit(int(total)).cast("long"))
 
 
 def held_out_scores(docs: DataFrame) -> DataFrame:

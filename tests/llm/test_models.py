@@ -65,6 +65,10 @@ def test_scores_are_those_of_the_plain_model(which, request):
         assert abs(a[6] - b[6]) / b[2] < 0.03  # weights are quantised
 
 
+def test_scores_of_an_empty_table(nothing):
+    assert lm_score.held_out_scores(nothing).count() == 0
+
+
 def test_many_shards_score_like_one(corpus):
     from pyspark.sql import functions as F
 
