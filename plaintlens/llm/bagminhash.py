@@ -26,7 +26,6 @@ give empty results. Very long texts are handled whole, one at a time if need be.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +41,8 @@ BANDS, ROWS = 24, 4
 SIZE = BANDS * ROWS
 #: Bytes of text whose shingles are made at once.
 SLICE = 4 << 20
+#: Shingles of pairs that are compared at once, about.
+PAIRED = 1 << 20
 #: Buckets of the bounded set that keeps texts without a candidate from being moved.
 FILTER = 1 << 20
 
@@ -192,18 +193,26 @@ def _star(edges: DataFrame, which) -> DataFrame:
     return store(linked.unionByName(own).where("u != v").distinct())
 
 
-@lru_cache(maxsize=512)
-def _bag(text: str) -> tuple[np.ndarray, np.ndarray]:
-    _, hashes, counts = weighted(*shingles([text.encode()]))
-    return hashes, counts
-
-
-def overlap(one: str, other: str) -> float:
-    """Weighted Jaccard similarity of two normalised texts."""
-    (a, m), (b, n) = _bag(one), _bag(other)
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    shared = np.minimum(m[i], n[j]).sum()
-    return float(shared / max(1, m.sum() + n.sum() - shared))
+def overlaps(one: pa.Array, other: pa.Array) -> np.ndarray:
+    """Weighted Jaccard similarity of each pair of normalised texts; each distinct text is cut once."""
+    coded = pa.concat_arrays([one.cast(pa.string()), other.cast(pa.string())]).dictionary_encode()
+    texts = len(coded.dictionary)
+    text, hashes, counts = weighted(*shingles([t.encode() for t in coded.dictionary.to_pylist()]))
+    start = np.searchsorted(text, np.arange(texts + 1))
+    size, total = np.diff(start), np.bincount(text, counts, texts)
+    left, right = np.split(coded.indices.to_numpy().astype(np.int64), 2)
+    shared = np.zeros(len(left))
+    step = np.cumsum(size[left] + size[right]) // PAIRED
+    for part in np.split(np.arange(len(left)), np.flatnonzero(np.diff(step)) + 1):
+        sides = np.concatenate([left[part], right[part]])
+        pair = np.repeat(np.concatenate([part, part]), size[sides])
+        inside = np.arange(len(pair)) - np.repeat(np.cumsum(size[sides]) - size[sides], size[sides])
+        at = np.repeat(start[sides], size[sides]) + inside
+        order = np.lexsort((hashes[at], pair))
+        at, pair = at[order], pair[order]
+        both = np.flatnonzero((pair[1:] == pair[:-1]) & (hashes[at[1:]] == hashes[at[:-1]]))
+        shared += np.bincount(pair[both], np.minimum(counts[at[both]], counts[at[both + 1]]), len(left))
+    return shared / np.maximum(total[left] + total[right] - shared, 1)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -211,8 +220,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = [overlap(x.as_py(), y.as_py()) >= similarity for x, y in zip(batch["one"], batch["other"], strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            if batch.num_rows:
+                good = overlaps(batch["one"], batch["other"]) >= similarity
+                yield batch.select(["a", "b"]).filter(pa.array(good))
 
     one = texts.select(F.col("node").alias("a"), F.col("norm").alias("one"))
     other = texts.select(F.col("node").alias("b"), F.col("norm").alias("other"))
