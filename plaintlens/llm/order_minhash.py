@@ -2,15 +2,19 @@
 
 A text is a sequence of pieces: its words, those of more than PIECE characters cut. Runs of RUN pieces
 are its k-mers, numbered by occurrence so that a repeated k-mer counts each time. Hashes deal the numbered
-k-mers into BINS bins. In each bin the TUPLE smallest are selected, put back into text order and
-hashed together: two texts agree in a bin if they share its smallest k-mers and have them in the same
-order. A fingerprint lists, for each bin that is not empty, one character for the bin and three digits of that hash.
+k-mers into BINS bins. A sketch has a position for each bin: the TUPLE first k-mers from the bin's start
+on, in the order of their hashes and around its end, are put back into text order and hashed together to three
+digits. Two texts agree in a position if they share its k-mers and have them in the same order. Each position is by itself a
+minimal TUPLE-set under a random order (the hashes, turned by the bin's start); positions of texts with
+few k-mers have k-mers in common, so their likeness varies more than under BINS independent hashes. Likeness compares sketches.
+A fingerprint lists, for each bin that is not empty, one character for the bin and three digits of the
+hash of the bin's own TUPLE smallest k-mers. A bin with a single k-mer hashes that alone, without order.
 
 All work is built-in expressions. Hash and position share one number, so that a text needs one sort
 of numbers; only texts in which a k-mer repeats need a second one, to number the occurrences.
 
-Defined cases: null text counts as empty and has the empty fingerprint, as has a text without words; two empty
-fingerprints are alike (1.0). Fewer than RUN pieces are one k-mer. Rows are ordered by doc_id, nulls
+Defined cases: null text counts as empty and has the empty fingerprint and sketch, as has a text without words; two empty
+sketches are alike (1.0). Fewer than RUN pieces are one k-mer, and a single k-mer is hashed alone. Rows are ordered by doc_id, nulls
 first, then by content; repeated rows follow each other. A single row is its own next document. Empty tables give empty
 results. Texts of any length are read whole; positions past 2**24 count as the last. Extra columns take no part.
 """
@@ -76,39 +80,85 @@ def _numbered(runs: Column) -> Column:
     return _let(F.array_sort(F.transform(runs, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), number)
 
 
-def fingerprint(text: Column) -> Column:
-    """The fingerprint of a text."""
-    shift = 64 - (BINS.bit_length() - 1)
-    bin_of = lambda x: F.shiftright(x, shift)
-    value = lambda x: F.shiftright(x, POSITION_BITS)
-    place = lambda x: x.bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+def _bin(x: Column) -> Column:
+    return F.shiftright(x, 64 - (BINS.bit_length() - 1))
+
+
+def _value(x: Column) -> Column:
+    return F.shiftright(x, POSITION_BITS)
+
+
+def _place(x: Column) -> Column:
+    return x.bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+
+
+def _in_text_order(x: Column, other: Column) -> Column:
+    """Hash of two k-mers, the one that comes first in the text first."""
+    return F.when(_place(other) < _place(x), F.xxhash64(_value(other), _value(x))).otherwise(F.xxhash64(_value(x), _value(other)))
+
+
+def _digits(digest: Column) -> Column:
+    return F.lpad(F.hex(digest.bitwiseAND(F.lit(0xFFF))), 3, "0")
+
+
+def _of_kmers(text: Column, body) -> Column:
+    """body(numbered k-mers by hash, places in them at which a bin opens)."""
 
     def elements(runs: Column) -> Column:
         plain = F.transform(runs, lambda h, i: _packed(F.xxhash64(h, F.lit(0)), i))
         return F.when(F.size(F.array_distinct(runs)) < F.size(runs), _numbered(runs)).otherwise(plain)
 
-    def listed(ordered: Column) -> Column:
-        def entry(x: Column, i: Column) -> Column:
-            other = F.get(ordered, i + 1)
-            pair = F.when(place(other) < place(x), F.xxhash64(value(other), value(x))).otherwise(F.xxhash64(value(x), value(other)))
-            digest = F.when(bin_of(other) == bin_of(x), pair).otherwise(F.xxhash64(value(x)))
-            name = F.substr(F.lit(LETTERS), (bin_of(x) + BINS // 2 + 1).cast("int"), F.lit(1))
-            digits = F.lpad(F.hex(digest.bitwiseAND(F.lit(0xFFF))), 3, "0")
-            opens = (i == 0) | (bin_of(F.get(ordered, F.greatest(i - 1, F.lit(0)))) != bin_of(x))
-            return F.when(opens, F.concat(name, digits))
-
-        return F.array_join(F.transform(ordered, entry), "")
+    def opened(ordered: Column) -> Column:
+        first = lambda x, i: (i == 0) | (_bin(F.get(ordered, F.greatest(i - 1, F.lit(0)))) != _bin(x))
+        opens = F.filter(F.transform(ordered, lambda x, i: F.when(first(x, i), i)), lambda i: i.isNotNull())
+        return _let(opens, lambda found: body(ordered, found))
 
     pieces = F.regexp_extract_all(text, F.lit(rf"[^\x20\x09-\x0D]{{1,{PIECE}}}"), F.lit(0))
-    return _let(_let(_runs(pieces), elements), lambda found: _let(F.array_sort(found), listed))
+    return _let(_let(_runs(pieces), elements), lambda found: _let(F.array_sort(found), opened))
+
+
+def _listed(ordered: Column, opens: Column) -> Column:
+    """The fingerprint: an entry for each occupied bin."""
+
+    def entry(i: Column) -> Column:
+        x, other = F.get(ordered, i), F.get(ordered, i + 1)
+        digest = F.when(_bin(other) == _bin(x), _in_text_order(x, other)).otherwise(F.xxhash64(_value(x)))
+        return F.concat(F.substr(F.lit(LETTERS), (_bin(x) + BINS // 2 + 1).cast("int"), F.lit(1)), _digits(digest))
+
+    return F.array_join(F.transform(opens, entry), "")
+
+
+def _sketched(ordered: Column, opens: Column) -> Column:
+    """The sketch: for each bin, the TUPLE first k-mers from its start on, around the end of the order."""
+
+    def entry(i: Column) -> Column:
+        x, other = F.get(ordered, i), F.get(ordered, F.pmod(i + 1, F.size(ordered)))
+        return _digits(F.when(F.size(ordered) == 1, F.xxhash64(_value(x))).otherwise(_in_text_order(x, other)))
+
+    at = lambda i: _bin(F.get(ordered, i)).cast("int")
+    # a bin that opens at i is where all bins since the one before find their first k-mer
+    since = lambda i, k: F.when(k > 0, at(F.get(opens, F.greatest(k - 1, F.lit(0))))).otherwise(F.lit(-BINS // 2 - 1))
+    entries = F.transform(opens, lambda i, k: F.repeat(entry(i), at(i) - since(i, k)))
+    rest = F.repeat(entry(F.lit(0)), F.lit(BINS // 2 - 1) - at(F.element_at(opens, -1)))
+    return F.when(F.size(opens) == 0, F.lit("")).otherwise(F.concat(F.array_join(entries, ""), rest))
+
+
+def fingerprint(text: Column) -> Column:
+    """The fingerprint of a text."""
+    return _of_kmers(text, _listed)
+
+
+def signature(text: Column) -> Column:
+    """Fingerprint and sketch (its digits as bytes) of a text, from one sort of its k-mers."""
+    return _of_kmers(text, lambda ordered, opens: F.struct(_listed(ordered, opens).alias("fingerprint"), F.unhex(_sketched(ordered, opens)).alias("sketch")))
 
 
 def likeness(one: Column, other: Column) -> Column:
-    """Share of the bins, of those that either fingerprint has, in which both agree."""
-    entries = [F.regexp_extract_all(f, F.lit(".{4}"), F.lit(0)) for f in (one, other)]
-    bins = [F.regexp_extract_all(f, F.lit("(.).{3}"), F.lit(1)) for f in (one, other)]
-    either = F.size(F.array_union(*bins))
-    return F.when(either == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(*entries)) / either)
+    """Share of the positions in which two sketches agree."""
+    one, other = F.hex(one), F.hex(other)
+    digits = [F.regexp_extract_all(s, F.lit(".{3}"), F.lit(0)) for s in (one, other)]
+    same = F.size(F.filter(F.zip_with(*digits, lambda a, b: a == b), lambda agree: agree))
+    return F.when((one == "") & (other == ""), F.lit(1.0)).otherwise(same / BINS)
 
 
 def _identity() -> Column:
@@ -158,19 +208,21 @@ def edited(docs: DataFrame) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """Fingerprints of every document and of its edited text, and their likeness to each other and to the next."""
+    """Fingerprints and sketches of every document and of its edited text, and the likeness of its sketch to that and to the next."""
     made = store(
         edited(docs).select(
             "key", "n_chars", "following",
-            F.sha2("edited", 256).alias("edited_sha256"),
-            fingerprint(F.col("text")).alias("fingerprint"),
-            fingerprint(F.col("edited")).alias("edited_fingerprint"),
+            F.unhex(F.sha2("edited", 256)).alias("edited_sha256"),
+            signature(F.col("text")).alias("of_text"),
+            signature(F.col("edited")).alias("of_edited"),
         )
     )
-    others = made.select(F.col("key.part").alias("n_part"), F.col("key.place").alias("n_place"), F.col("fingerprint").alias("next_fingerprint"))
+    others = made.select(F.col("key.part").alias("n_part"), F.col("key.place").alias("n_place"), F.col("of_text.sketch").alias("next_sketch"))
     met = made.join(others, (F.col("following.part") == F.col("n_part")) & (F.col("following.place") == F.col("n_place")))
     return met.select(
-        F.col("key.own.doc_id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        F.col("key.own.doc_id").alias("doc_id"), "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
+        F.col("of_text.fingerprint").alias("fingerprint"), F.col("of_edited.fingerprint").alias("edited_fingerprint"),
+        F.hex("of_text.sketch").alias("sketch"), F.hex("of_edited.sketch").alias("edited_sketch"),
+        likeness(F.col("of_text.sketch"), F.col("of_edited.sketch")).alias("near_edited"),
+        likeness(F.col("of_text.sketch"), F.col("next_sketch")).alias("near_next"),
     )

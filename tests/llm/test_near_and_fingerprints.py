@@ -164,6 +164,37 @@ def test_order_counts(spark):
     assert alike(f["ab"], f["ba"]) < alike(f["ab"], f["ab2"])
 
 
+def sketch(text: str) -> str:
+    """For each of 64 turns of the hash order, the two first numbered runs in text order."""
+    pieces = re.findall(r"[^\x20\x09-\x0D]{1,16}", text)
+    hashes = [h64(p.encode(), 42) for p in pieces]
+    runs = [chain(chain(*hashes[k : k + 2]), hashes[k + 2]) for k in range(len(hashes) - 2)] if len(hashes) >= 3 else ([chain(*hashes)] if hashes else [])
+    seen, found = Counter(), []
+    for place, run in enumerate(runs):
+        found.append((signed(h64(seen[run].to_bytes(4, "little"), chain(run))) >> 24, place))
+        seen[run] += 1
+    out = ""
+    for b in range(-32, 32) if found else ():
+        smallest = sorted(found, key=lambda x: ((x[0] - (b << 34)) % (1 << 40), x[1]))[:2]
+        out += f"{chain(*(v for v, _ in sorted(smallest, key=lambda x: x[1]))) & 0xFFF:03X}"
+    return out
+
+
+def test_sketches_follow_their_definition(awkward):
+    texts = Counter((r.doc_id, sketch(r.text or "")) for r in awkward.collect())
+    found = order_minhash.fingerprints(awkward).collect()
+    assert Counter((r.doc_id, r.sketch) for r in found) == texts
+    assert all(len(r.sketch) in (0, 3 * order_minhash.BINS) for r in found)
+
+
+def test_short_texts_in_another_order_are_less_alike(spark):
+    halves = [(words(2 * k + 100, 11), words(2 * k + 101, 11)) for k in range(40)]
+    rows = [(2 * k + n, t) for k, (a, b) in enumerate(halves) for n, t in enumerate((f"{a} {b}", f"{b} {a}"))]
+    found = {r.doc_id: r.near_next for r in order_minhash.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # 18 of 22 runs are shared; two of them keep their order if both are of one half
+    assert np.mean([found[2 * k] for k in range(len(halves))]) == pytest.approx(18 / 22 * 17 / 21 * 8 / 17, abs=0.1)
+
+
 def test_empty_tables(nothing):
     assert bagminhash.classes(nothing).count() == bagminhash.keep_one(nothing).count() == 0
     assert order_minhash.fingerprints(nothing).count() == 0
