@@ -6,7 +6,8 @@ to sources without replacement: the draws of all sources are numbered through an
 permutation maps those numbers to slots. The number of each source in a shard is therefore multinomial
 given the exact totals; independent draws would leave small sources several percent off their
 target. A source's draw k is mapped through a pseudorandom permutation of the source's block numbers,
-another one for each pass, so that no block comes twice before all came once. Blocks and draws are
+another one for each pass, so that no block comes twice before all came once. Draws are counted in words: a
+source at its cap is taken whole in every pass, any other within half a block of its target. Blocks and draws are
 joined by (source, block number), which spreads the largest source over all tasks.
 
 Permutations are swap-or-not networks: for any size, without tables, one expression per row.
@@ -39,14 +40,16 @@ LAYOUT = 512
 CHUNK = 1 << 14
 
 
-def permuted(index: Column, size: Column, *seed: Column) -> Column:
-    """index under a pseudorandom permutation of 0 .. size - 1 (swap-or-not)."""
+def permuted(index: Column, size: Column, *seed: Column, back: bool = False) -> Column:
+    """index under a pseudorandom permutation of 0 .. size - 1 (swap-or-not); back: under its inverse."""
 
     def swap(x: Column, turn: Column) -> Column:
         partner = F.pmod(F.pmod(F.xxhash64(*seed, turn), size) - x, size)
         return F.when(F.xxhash64(*seed, turn, F.greatest(x, partner)).bitwiseAND(F.lit(1)) == 1, partner).otherwise(x)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), index.cast("long"), swap)
+    # a round undoes itself
+    turns = F.sequence(F.lit(ROUNDS), F.lit(1)) if back else F.sequence(F.lit(1), F.lit(ROUNDS))
+    return F.aggregate(turns, index.cast("long"), swap)
 
 
 @dataclass(frozen=True)
@@ -80,16 +83,38 @@ def with_targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     return leveled.withColumn("target", F.least(cap, F.coalesce(F.col("weight") * F.col("__level"), cap))).drop("__level")
 
 
-def laid_out(docs: DataFrame, block: int = BLOCK, **targets) -> Layout:
+def with_draws(sources: DataFrame, seed: int = 0, block: int = BLOCK) -> DataFrame:
+    """Blocks and draws of each source: as many as come nearest to its target in words.
+
+    Whole passes take every word. Of one more pass, blocks are taken up to the target; all hold `block`
+    words but the last, which counts from its turn in that pass.
+    """
+    sized = sources.withColumn("blocks", F.ceil(F.col("source_size") / block).cast("long"))
+    passes = F.floor(F.col("target") / F.greatest("source_size", F.lit(1))).cast("long")
+    sized = sized.withColumn("__passes", F.least(passes, F.lit(MOST_PASSES)))
+    sized = sized.withColumn("__rest", F.col("target") - F.col("__passes") * F.col("source_size"))
+    some = F.greatest("blocks", F.lit(1).cast("long"))
+    sized = sized.withColumn("__turn", permuted(some - 1, some, F.lit(seed), F.col("sid"), F.col("__passes"), back=True))
+
+    def candidate(more: Column) -> Column:
+        n = F.least(F.floor(F.col("__rest") / block) + more, F.col("blocks"))
+        words = n * block - F.when(n > F.col("__turn"), F.col("blocks") * block - F.col("source_size")).otherwise(0)
+        return F.struct(F.abs(words - F.col("__rest")).alias("off"), n.alias("n"))
+
+    nearest = F.array_min(F.transform(F.array(*(F.lit(k).cast("long") for k in range(3))), candidate))["n"]
+    drawn = F.least(F.col("__passes") * F.col("blocks") + nearest, F.col("blocks") * MOST_PASSES)
+    # a source with words is never left out by rounding
+    drawn = F.when((drawn == 0) & (F.col("target") > 0), F.lit(1).cast("long")).otherwise(drawn)
+    return sized.withColumn("draws", drawn).drop("__passes", "__rest", "__turn")
+
+
+def laid_out(docs: DataFrame, seed: int = 0, block: int = BLOCK, **targets) -> Layout:
     """Sizes, sources and each document's place in its source's run of words."""
     content = F.xxhash64(*(F.col(c) for c, kind in docs.dtypes if not kind.startswith("map")))
     sized = docs.select("doc_id", "source", content.alias("content"), word_count(text_of("text")).alias("size"))
     units = store(sized.groupBy("doc_id", "source", "content", "size").agg(F.count("*").alias("copies")))
     sources = units.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
-    numbered = with_targets(sources, **targets).withColumn("blocks", F.ceil(F.col("source_size") / block).cast("long"))
-    drawn = F.least(F.round(F.col("target") / block).cast("long"), F.col("blocks") * MOST_PASSES)
-    # a source with words is never left out by rounding
-    numbered = numbered.withColumn("draws", F.when((drawn == 0) & (F.col("target") > 0), F.lit(1).cast("long")).otherwise(drawn))
+    numbered = with_draws(with_targets(sources, **targets), seed, block)
     numbered = numbered.withColumn("first_draw", F.sum("draws").over(Window.orderBy("sid")) - F.col("draws"))
     numbered = store(numbered.withColumn("all_draws", F.sum("draws").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
 
@@ -136,7 +161,7 @@ def pieces(rows: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def mixed(docs: DataFrame, seed: int = 0, block: int = BLOCK, **targets) -> DataFrame:
     """Every document's part in the mix: doc_id, size, source_size, target, taken; one row per input row."""
-    layout = laid_out(docs, block, **targets)
+    layout = laid_out(docs, seed, block, **targets)
     rows = store(layout.rows)
     times = slots(layout.sources, seed).groupBy("sid", "block").agg(F.count("*").alias("times"))
     # the draws unfold from a small table, whose size says nothing about theirs: never broadcast them
@@ -154,7 +179,7 @@ def mixed_documents(docs: DataFrame, seed: int = 0, block: int = BLOCK, **target
     A document that a pass takes whole keeps its text as it is; otherwise its taken words are joined
     by spaces. A column n_chars follows the new text.
     """
-    layout = laid_out(docs, block, **targets)
+    layout = laid_out(docs, seed, block, **targets)
     drawn = slots(layout.sources, seed).select("sid", "block", "pass")
     joined = pieces(layout.rows, block).join(drawn.hint("merge"), ["sid", "block"])
     parts = joined.groupBy("doc_id", "content", "copy", "pass", "size").agg(

@@ -75,6 +75,21 @@ def test_mix_meets_targets(which, request):
     assert Counter(mixing.mixed(docs.repartition(3)).collect()) == Counter(found)  # any layout of the input gives the same mix
 
 
+def test_small_sources_meet_targets(spark):
+    sizes = {"c30": 30, "c47": 47, "c64": 64, "c70": 70, "c100": 100, "c150": 150, "c300": 300, "c1000": 1000, "d5000": 5000, "hot": 20_000}
+    rows = [(k, s, " ".join(["w"] * part)) for k, (s, part) in enumerate((s, p) for s, n in sizes.items() for p in (n // 3, n - n // 3))]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    wanted, of = targets(sizes), {k: s for k, s, _ in rows}
+    taken, by_text = Counter(), Counter()
+    for r in mixing.mixed(docs).collect():
+        taken[of[r.doc_id]] += r.taken
+    for r in mixing.mixed_documents(docs).collect():
+        by_text[r.source] += len(r.text.split())
+    assert taken == by_text and any(wanted[s] < 2 * n for s, n in sizes.items())
+    for s, n in sizes.items():
+        assert taken[s] == 2 * n if wanted[s] == 2 * n else abs(taken[s] - wanted[s]) <= mixing.BLOCK / 2, s
+
+
 def test_permutation_is_one(spark):
     from pyspark.sql import functions as F
 
