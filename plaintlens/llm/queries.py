@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plaintlens.llm import bagminhash, bpe, exact_dedup, langid, lm_score, mixing, order_minhash, pii, secret_scan, toxicity
+from plaintlens.llm import bagminhash, bpe, exact_dedup, langid, lm_score, mixing, order_minhash, pii, secret_scan, toxicity, word_bpe
 from plaintlens.llm.common import table
 
 
@@ -57,6 +57,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = word_bpe.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return word_bpe.tokenised(docs, words, ["n_tokens", "ids_sha256", "decoded_sha256"])
+
+
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_near_dedup": op2_near_dedup,
@@ -68,6 +74,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_fingerprints": op9_fingerprints,
     "op10_toxicity": op10_toxicity,
+    "op11_word_bpe": op11_word_bpe,
 }
 
 ORACLE = {
