@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plaintlens.llm import bagminhash, bpe, exact_dedup, langid, lm_score, mixing, order_minhash, pii, secret_scan, toxicity, word_bpe
+from plaintlens.llm import bagminhash, bpe, dual_tree, exact_dedup, langid, lm_score, mixing, order_minhash, pii, secret_scan, toxicity, word_bpe
 from plaintlens.llm.common import table
 
 
@@ -63,6 +63,10 @@ def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.tokenised(docs, words, ["n_tokens", "ids_sha256", "decoded_sha256"])
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_near_dedup": op2_near_dedup,
@@ -75,8 +79,12 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints,
     "op10_toxicity": op10_toxicity,
     "op11_word_bpe": op11_word_bpe,
+    "op13_ranked_search": op13_ranked_search,
 }
 
+#: A text's terms; the driver's SQL knows the same pattern.
+TERMS = f"regexp_extract_all(translate(coalesce(text, ''), '{dual_tree.UPPER}', '{dual_tree.UPPER.lower()}'), '{dual_tree.TERM}')"
+
 ORACLE = {
     "op6_exact_dedup": r"""
         with t as (
@@ -86,4 +94,26 @@ ORACLE = {
                doc_id = min(doc_id) over g as kept, sha256(norm) as text_sha256
         from t window g as (partition by norm)
     """,
+    "op13_ranked_search": f"""
+        with docs as (select row_number() over () as r, doc_id, {TERMS} as terms from documents),
+        counted as (select r, doc_id, len(terms) as n from docs where len(terms) > 0),
+        whole as (select count(*) as documents, cast(sum(n) as bigint) as length from counted),
+        wanted as (select distinct item_id, unnest({TERMS}) as term from benchmark),
+        freqs as (
+            select r, term, count(*) as tf from (select r, unnest(terms) as term from docs)
+            where term in (select term from wanted) group by all),
+        weights as (
+            select term, cast(floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1))) as bigint) as w
+            from freqs, whole group by term),
+        parts as (
+            select r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * documents) // length))) as part
+            from freqs join counted using (r) join weights using (term), whole),
+        scores as (
+            select item_id, doc_id, r, cast(sum(part) as bigint) as score
+            from wanted join parts using (term) group by all having sum(part) > 0),
+        placed as (
+            select *, cast(row_number() over (partition by item_id order by score desc, doc_id nulls last) as int) as rank
+            from scores)
+        select item_id, rank, doc_id, score from placed where rank <= 50
+    """,
 }
