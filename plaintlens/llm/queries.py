@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plaintlens.llm import bagminhash, bpe, dual_tree, exact_dedup, langid, lm_score, mixing, order_minhash, pii, secret_scan, toxicity, word_bpe
+from plaintlens.llm import bagminhash, bpe, dual_tree, exact_dedup, langid, lm_score, mixing, order_minhash, pii, runs, secret_scan, toxicity, word_bpe
 from plaintlens.llm.common import table
 
 
@@ -63,6 +63,12 @@ def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.tokenised(docs, words, ["n_tokens", "ids_sha256", "decoded_sha256"])
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", runs.repeated(F.col("text"), F.col("doc_id")).alias("text"))
+    wanted = ("n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+    return runs.periodic_runs(docs, wanted)
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dual_tree.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -79,6 +85,7 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints,
     "op10_toxicity": op10_toxicity,
     "op11_word_bpe": op11_word_bpe,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_ranked_search": op13_ranked_search,
 }
 
