@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.prelude import (
-    clean_zip, crosswalk, display, implied, lit, n, norm, ratio, rnd, sql, stripped, trim, zip_shape,
+    clean_zip, crosswalk, display, implied, lit, n, norm, ratio, rnd, sql, sql_over, stripped, trim, zip_shape,
 )
 from plaintlens import defaults as D
 
@@ -24,6 +24,31 @@ def month(date: str, grain: str = "month") -> str:
     return f"cast(date_trunc('{grain}', {date}) as date)"
 
 
+# the feed after two upserts of later and amended complaints, 30 days back from the newest
+UPSERTED = """
+    late as (select * from feed where date_received > date '1997-12-31'),
+    amended as (
+        select * replace (
+            case when cast(complaint_id as bigint) % 7 = 0 then date_received + 25 else date_received end as date_received,
+            case when cast(complaint_id as bigint) % 5 = 0 then 'Nation 9 Holdings' else company_name end as company_name,
+            case when cast(complaint_id as bigint) % 4 = 0 then 'Mortgage' else product end as product)
+        from late where cast(complaint_id as bigint) % 3 = 0),
+    again as (
+        select * replace (false as timely_response, 'Nation 24 Holdings' as company_name)
+        from amended where cast(complaint_id as bigint) % 2 = 0),
+    loaded as (select * from feed where date_received <= date '1998-02-28'),
+    recent as (
+        select * from (
+            select * exclude (version) from (select *, 1 as version from late union all select *, 2 from amended)
+            qualify row_number() over (partition by complaint_id order by version desc) = 1)
+        where date_received > (select max(date_received) - 30 from loaded)),
+    once as (
+        select * from loaded where complaint_id not in (select complaint_id from recent) union all select * from recent),
+    newest as (select * from again where date_received > (select max(date_received) - 30 from once)),
+    raw as (
+        select * from once where complaint_id not in (select complaint_id from newest) union all select * from newest)"""
+ORACLE["monthly_maintained"] = sql_over(UPSERTED, "select * from monthly")
+
 # end products
 oracle(
     bank_metrics="select * from bank_metrics",

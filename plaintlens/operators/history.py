@@ -96,12 +96,23 @@ def upsert_lookback(
 ) -> DataFrame:
     """Existing rows overwritten by the recent part of a delta.
 
-    Delta rows later than the newest existing date minus `days` replace rows with the same key
-    or are added; older ones are ignored. A column only one side has is NULL on the other.
+    Of each key the newest version in the delta counts. Those later than the newest existing date minus
+    `days` replace rows with the same key or are added; older ones are ignored. A column only one side has is NULL on the other.
     """
-    recent = since_lookback(existing, delta, time_col, days)
+    recent = recent_versions(existing, delta, key, time_col, days, version)
     kept = existing.join(recent.select(key), key, "left_anti")
-    return kept.unionByName(latest_per_key(recent, key, version), allowMissingColumns=True)
+    return kept.unionByName(recent, allowMissingColumns=True)
+
+
+def recent_versions(
+    existing: DataFrame, delta: DataFrame, key: str, time_col: str, days: int, version: str
+) -> DataFrame:
+    """The newest version of each key in a delta, if it is recent.
+
+    An older version never stands in for a newest one that is out of the lookback: applying a delta moves
+    the newest date on, and applying it again must not bring older versions back.
+    """
+    return since_lookback(existing, latest_per_key(delta, key, version), time_col, days)
 
 
 def since_lookback(existing: DataFrame, delta: DataFrame, time_col: str, days: int) -> DataFrame:

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plaintlens.functions.rates import era_count, era_rate, ratio
+from plaintlens.functions.rates import era_rate, ratio
+from plaintlens.operators.maintain import BY, MEASURES, component_cells, defined, period_of
 
 BANK_ATTRIBUTES = [
     "canonical_name", "top_holder_normalized", "bank_size_bucket", "bank_size_rank", "charter_count",
@@ -74,34 +75,17 @@ def entity_metrics(fact: DataFrame, banks: DataFrame) -> DataFrame:
     )
 
 
-def component_mart(
-    fact: DataFrame, banks: DataFrame, grain: str = "month", by: Sequence[str] = ("product_category",)
+def components_of(
+    cells: DataFrame, banks: DataFrame, grain: str = "month", by: Sequence[str] = BY
 ) -> DataFrame:
-    """Additive components per bank, period and category; rates follow by summing and dividing.
+    """The component mart of stored or maintained cells.
 
     An era-gated numerator is NULL exactly when its denominator is 0.
     """
-    period = f"{grain}_start"
-    dispute, narrative = F.col("is_dispute_era"), F.col("is_narrative_era")
-    cells = (
-        fact.where(F.col("company_sk").isNotNull())
-        .groupBy("company_sk", F.trunc("date_received", grain).alias(period), *by)
-        .agg(
-            F.count("*").alias("complaint_count"),
-            F.count_if("timely_response").alias("timely_response_count"),
-            F.count_if(F.col("days_to_company") == 0).alias("routed_same_day_count"),
-            F.sum("days_to_company").alias("sum_days_to_company"),
-            F.count_if(dispute).alias("complaint_count_dispute_era"),
-            F.count_if(narrative).alias("complaint_count_narrative_era"),
-            era_count(F.col("consumer_disputed"), dispute).alias("disputed_count"),
-            era_count(F.col("has_narrative"), narrative).alias("narrative_count"),
-        )
-    )
-    measures = [c for c in cells.columns if c not in ("company_sk", period, *by)]
-    return cells.join(_enriched(banks), "company_sk").select(
+    return defined(cells).join(_enriched(banks), "company_sk").select(
         "company_sk",
         "canonical_name",
-        period,
+        period_of(grain),
         *by,
         "bank_size_bucket",
         "bank_size_rank",
@@ -109,10 +93,17 @@ def component_mart(
         "primary_specialization",
         _billions(1).alias("total_assets_billions"),
         "is_supervised_cfpb",
-        *measures,
+        *[m for m in MEASURES if m != "days_known_count"],
     )
 
 
+def component_mart(
+    fact: DataFrame, banks: DataFrame, grain: str = "month", by: Sequence[str] = BY
+) -> DataFrame:
+    """Additive components per bank, period and category; rates follow by summing and dividing."""
+    return components_of(component_cells(fact, grain, by), banks, grain, by)
+
+
 # numerator and denominator component of each rate the monthly mart can answer
 COMPONENT_RATES = {
     "timely_response_rate": ("timely_response_count", "complaint_count"),

@@ -6,18 +6,18 @@ Each takes (spark, sf_dir) and returns a lazy DataFrame over whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plaintlens import defaults as D
 from plaintlens.functions import flags, text
-from plaintlens.operators import checks, dims, entity, facts, history, marts, profile
+from plaintlens.operators import checks, dims, entity, facts, history, maintain, marts, profile
 from plaintlens.operators.lookup import apply_mapping
 from plaintlens.operators.metrics import metric, over_spine
 from plaintlens.plans import given
-from plaintlens.plans.build import model_checks
+from plaintlens.plans.build import Models, model_checks
 from plaintlens.plans.given import models, table
 from plaintlens.session import tune
 from plaintlens.sources.tables import describe_schema, materialize_lean
@@ -110,6 +110,52 @@ def monthly_components(spark, sf):
     return models(spark, sf).monthly
 
 
+#: Complaints received later than this come as changes.
+FIRST_LOAD_END = "1998-02-28"
+
+
+def complaint_changes(spark: SparkSession, sf: str) -> tuple[DataFrame, list[dict[int, DataFrame]]]:
+    """Raw complaints of a first load, and two feeds of later, amended and repeated ones by version."""
+    feed = raw(spark, sf)
+    number = F.col("complaint_id").cast("long")
+    late = feed.where(F.col("date_received") > flags.as_date("1997-12-31"))
+    amended = late.where(number % 3 == 0).withColumns({
+        # moved to another month, to another company, and to another category
+        "date_received": F.when(number % 7 == 0, F.date_add("date_received", 25)).otherwise(F.col("date_received")),
+        "company_name": F.when(number % 5 == 0, F.lit("Nation 9 Holdings")).otherwise(F.col("company_name")),
+        "product": F.when(number % 4 == 0, F.lit("Mortgage")).otherwise(F.col("product")),
+    })
+    again = amended.where(number % 2 == 0).withColumns(
+        {"timely_response": F.lit(False), "company_name": F.lit("Nation 24 Holdings")})
+    return feed.where(F.col("date_received") <= flags.as_date(FIRST_LOAD_END)), [{1: late, 2: amended}, {3: again}]
+
+
+def versioned_fact(spark: SparkSession, sf: str, complaints: dict[int, DataFrame]) -> DataFrame:
+    """The fact of raw complaints, given by version."""
+    ours = models(spark, sf)
+    facts_by_version = [
+        Models(spark, ours.inputs, given.SETTINGS, complaints=facts.clean_complaints(
+            rows, ours.inputs.product_map, ours.inputs.subproduct_map, ours.inputs.issue_map, given.SETTINGS.full_years),
+        ).fact.withColumn("version", F.lit(version))
+        for version, rows in complaints.items()
+    ]
+    return reduce(DataFrame.unionByName, facts_by_version)
+
+
+@query
+def monthly_maintained(spark, sf):
+    """The monthly mart after two sets of upserts, from the first load's cells and the changes alone."""
+    loaded, feeds = complaint_changes(spark, sf)
+    existing = versioned_fact(spark, sf, {0: loaded})
+    cells = maintain.component_cells(existing)
+    upsert = ("complaint_id", "date_received", 30, "version")
+    for feed in feeds:
+        delta = versioned_fact(spark, sf, feed)
+        cells = maintain.apply_changes(cells, maintain.upsert_changes(existing, delta, *upsert))
+        existing = history.upsert_lookback(existing, delta, *upsert)
+    return marts.components_of(cells, models(spark, sf).bank_dim)
+
+
 @query
 def rollup_from_components(spark, sf):
     return marts.rollup_components(models(spark, sf).monthly, ["bank_size_bucket", "product_category"])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from plaintlens.operators.history import latest_per_key, since_lookback
+from plaintlens.operators.history import recent_versions
 
 MONTH = "month_start"
 
@@ -41,7 +41,7 @@ def upsert_table(delta: DataFrame, table: str, key: str, time_col: str, days: in
     spark = delta.sparkSession
     _add_missing_columns(delta, table)
     existing = spark.table(table)
-    recent = latest_per_key(since_lookback(existing, delta, time_col, days), key, version).persist()
+    recent = recent_versions(existing, delta, key, time_col, days, version).persist()
     try:
         replaced = existing.select(key, MONTH).join(recent.select(key), key, "left_semi").select(MONTH)
         months = [r[0] for r in recent.select(month_of(time_col)).union(replaced).distinct().collect()]
