@@ -98,6 +98,8 @@ def apply_batch(
     by: Sequence[str] = BY,
 ) -> None:
     """Upsert a delta of complaints and bring the cells in step. Repeating the last batch changes nothing."""
+    for table in (fact_table, cells_table, changes_name(cells_table)):
+        delta.sparkSession.catalog.refreshTable(table)  # another session may have written it
     write_changes(delta, fact_table, cells_table, batch, key, time_col, days, version, by)
     upsert_table(delta, fact_table, key, time_col, days, version)
     add_changes(delta.sparkSession, cells_table, batch, by)

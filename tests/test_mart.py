@@ -89,6 +89,8 @@ def stored(spark, name, loaded):
 
 
 def agrees(spark, fact, cells):
+    for table in (fact, cells):  # a stream writes in a session of its own
+        spark.catalog.refreshTable(table)
     return same(mart.read_cells(spark, cells), maintain.component_cells(spark.table(fact).drop("month_start")))
 
 
