@@ -6,6 +6,7 @@ from oracle.prelude import (
     clean_zip, crosswalk, display, implied, lit, n, norm, ratio, rnd, sql, sql_over, stripped, trim, zip_shape,
 )
 from plaintlens import defaults as D
+from plaintlens.plans.rules import LISTED, REQUIRED, UNIQUE
 
 ORACLE: dict[str, str] = {}
 
@@ -24,6 +25,26 @@ def month(date: str, grain: str = "month") -> str:
     return f"cast(date_trunc('{grain}', {date}) as date)"
 
 
+def declared() -> list[str]:
+    """One row per declared test of a column."""
+    tests = [(f"{m}.{c}.not_null", "error", f"select count(*) from {m} where {c} is null")
+             for m, (_, columns) in REQUIRED.items() for c in columns]
+    tests += [(f"{m}.{c}.not_null", "error", f"select count(*) from {m} where {c} is null and {where}")
+              for m, c, where in (("bank_dim", "total_assets_usd", "fdic_top_holder is not null"),
+                                  ("bank_dim", "bank_size_bucket", "fdic_top_holder is not null"),
+                                  ("banks", "total_assets", "top_holder is not null"))]
+    tests += [(f"{m}.{c}.unique", "error",
+               f"select count(*) from (select {c} from {m} where {c} is not null group by 1 having count(*) > 1)")
+              for m, columns in UNIQUE.items() for c in columns]
+    tests += [(f"{m}.{c}.accepted", severity,
+               f"select count(distinct {c}) from {m} where {where or 'true'} and {c} not in ({', '.join(map(lit, values))})")
+              for m, c, values, where, severity in LISTED]
+    tests += [(f"{m}.company_sk.{parent}", "error",
+               f"select count(distinct company_sk) from {m} where company_sk not in (select company_sk from {parent})")
+              for m, parent in (("fact", "companies"), ("monthly", "bank_dim"))]
+    return [f"select '{name}', '{severity}', ({count})" for name, severity, count in tests]
+
+
 # the feed after two upserts of later and amended complaints, 30 days back from the newest
 UPSERTED = """
     late as (select * from feed where date_received > date '1997-12-31'),
@@ -354,7 +375,8 @@ oracle(
     check_grain="""
         select canonical_name, product_category, count(*) as n_rows from monthly group by all having count(*) > 1""",
     check_summary="""
-        , failed as (
+        , dates as (select cast(unnest(generate_series(date '1995-01-01', date '2001-12-31', interval 1 day)) as date) as date_day),
+        failed as (
             select 'complaint_id_not_null' as name, 'error' as severity,
                 (select count(*) from complaints where complaint_id is null) as n_failed
             union all select 'complaint_id_unique', 'error',
@@ -398,7 +420,8 @@ oracle(
             union all select 'one_current_parent', 'error',
                 (select count(*) from (select canonical_name from crosswalk
                      where parent_as_of is null and fdic_top_holder is not null
-                     group by 1 having count(distinct fdic_top_holder) > 1)))
+                     group by 1 having count(distinct fdic_top_holder) > 1))
+            union all """ + " union all ".join(declared()) + """)
         select name, severity, n_failed,
             case when n_failed = 0 then 'pass' when severity = 'warn' then 'warn' else 'fail' end as status
         from failed""",

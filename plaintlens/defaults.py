@@ -111,3 +111,41 @@ LEGACY_PRODUCTS = [
     "Bank account or service", "Consumer Loan", "Credit card", "Credit reporting",
     "Money transfers", "Payday loan", "Prepaid card", "Virtual currency",
 ]
+
+# Labels the checks accept.
+PRODUCTS = [
+    "Bank account or service",
+    "Checking or savings account",
+    "Consumer Loan",
+    "Credit card",
+    "Credit card or prepaid card",
+    "Credit reporting",
+    "Credit reporting, credit repair services, or other personal consumer reports",
+    "Debt collection",
+    "Money transfer, virtual currency, or money service",
+    "Money transfers",
+    "Mortgage",
+    "Other financial service",
+    "Payday loan",
+    "Payday loan, title loan, or personal loan",
+    "Prepaid card",
+    "Student loan",
+    "Vehicle loan or lease",
+    "Virtual currency",
+]
+CHANNELS = ["Email", "Fax", "Phone", "Postal mail", "Referral", "Web", "Web Referral"]
+COMPANY_CATEGORIES = [
+    "bank", "credit_bureau", "credit_union", "debt_collector", "mortgage_servicer", "student_loan_servicer",
+    "fintech", "other",
+]
+ISSUE_CATEGORIES = [
+    "credit_reporting", "debt_collection", "payment_servicing", "account_management", "transactions_fees",
+    "application_origination", "fraud_identity_theft", "other",
+]
+STATES = [
+    "AA", "AE", "AK", "AL", "AP", "AR", "AS", "AZ", "CA", "CO", "CT", "DC", "DE", "FL", "FM", "GA",
+    "GU", "HI", "IA", "ID", "IL", "IN", "KS", "KY", "LA", "MA", "MD", "ME", "MH", "MI", "MN", "MO",
+    "MP", "MS", "MT", "NC", "ND", "NE", "NH", "NJ", "NM", "NV", "NY", "OH", "OK", "OR", "PA", "PR",
+    "PW", "RI", "SC", "SD", "TN", "TX", "UT", "VA", "VI", "VT", "WA", "WI", "WV", "WY", "UM",
+    "not-provided",
+]

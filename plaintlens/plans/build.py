@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from plaintlens import defaults as D
 from plaintlens.functions.flags import Era
-from plaintlens.operators import checks as Q
-from plaintlens.operators import dims, facts, marts
+from plaintlens.operators import dims, facts, fused, marts
 from plaintlens.operators.entity import resolve_entities
 from plaintlens.operators.rollup import holder_rollup
+from plaintlens.plans.rules import declared_rules, invariants
 from plaintlens.sources.tables import save
 
 
@@ -104,6 +104,8 @@ class Models:
         return self.fact.join(universe, "company_sk", "left_semi")
 
 
+#: Models written besides the fact, in this order, where they are checked.
+CHECKED = ["banks", "crosswalk", "holders", "companies", "bank_dim", "dates", "bank_metrics", "monthly"]
 STORED = ["companies", "bank_dim", "dates", "bank_metrics", "monthly"]
 
 
@@ -121,37 +123,30 @@ def store(spark: SparkSession, inputs: Inputs, path: str, settings: Settings = S
     return Models(spark, inputs, settings, **done)
 
 
-def model_checks(models: Models, coverage_floor: float = 74.0) -> list[Q.Check]:
-    """The invariants that hold between the models.
+def store_checked(
+    spark: SparkSession, inputs: Inputs, path: str, settings: Settings = Settings(), coverage_floor: float = 74.0
+) -> tuple[Models, DataFrame]:
+    """`store`, with the outcome of every check.
 
-    Row checks look at the fact, which has the columns, so that stored models are checked without
-    cleaning the feed again; of the raw feed only the rows are counted.
+    Row checks, shares and counts are taken while the models are written. What needs keys to meet is read from
+    the stored tables, each once and the checked columns only; the feed is read once in all.
     """
-    pairs = [("disputed_count", "complaint_count_dispute_era"),
-             ("narrative_count", "complaint_count_narrative_era")]
-    return [
-        Q.Check("complaint_id_not_null", Q.not_null(models.fact, "complaint_id")),
-        Q.Check("complaint_id_unique", Q.unique(models.fact, ["complaint_id"])),
-        Q.Check("fact_company_exists",
-                Q.relationship(models.fact, "company_sk", models.companies, "company_sk")),
-        Q.Check("response_category_accepted",
-                Q.accepted(models.fact, "response_category", ["relief", "explanation_only", "other"])),
-        Q.Check("lag_bucket_accepted", Q.accepted(models.fact, "days_to_company_bucket", D.LAG_LABELS)),
-        Q.Check("bank_tier_accepted",
-                Q.accepted(models.bank_dim, "bank_size_bucket", D.ASSET_LABELS, "fdic_top_holder is not null")),
-        Q.Check("dates_ordered", Q.ordered(models.fact, "date_received", "date_sent_to_company",
-                                           after=models.settings.intake_artifact_end)),
-        Q.Check("crosswalk_coverage", Q.coverage(models.fact, "is_crosswalked", coverage_floor)),
-        Q.Check("dispute_era_nulls", Q.null_outside_era(models.fact, "consumer_disputed", "is_dispute_era"), "warn"),
-        Q.Check("resolution_keeps_rows", Q.same_count(models.inputs.complaints, models.fact, "staging_n", "int_n")),
-        Q.Check("bank_rates_in_range",
-                Q.in_range(models.bank_metrics, ["timely_response_rate", "dispute_rate"], 0, 1)),
-        Q.Check("monthly_era_coherence", Q.coherent(models.monthly, pairs)),
-        Q.Check("monthly_matches_fact",
-                Q.same_total(models.monthly, F.sum("complaint_count"), models.universe_fact, F.count("*"),
-                             "monthly_n", "fct_n")),
-        Q.Check("monthly_grain", Q.unique(models.monthly, ["canonical_name", "month_start", "product_category"])),
-        Q.Check("one_current_parent", Q.unique(
-            models.crosswalk.where("parent_as_of is null and fdic_top_holder is not null")
-            .select("canonical_name", "fdic_top_holder").distinct(), ["canonical_name"])),
-    ]
+    rules = [*invariants(settings.intake_artifact_end, coverage_floor), *declared_rules()]
+    watched: dict[str, fused.Watched] = {}
+
+    def watch(name: str, df: DataFrame) -> DataFrame:
+        watched[name] = fused.Watched(df, name, rules)
+        return watched[name].table
+
+    raw = watch("feed", inputs.complaints)
+    cleaned = facts.clean_complaints(raw, inputs.product_map, inputs.subproduct_map, inputs.issue_map, settings.full_years)
+    fact = watch("fact", Models(spark, inputs, settings, complaints=cleaned).fact)
+    fact = fact.withColumn("month_start", F.trunc("date_received", "month"))
+    done = {"fact": save(fact, f"{path}/fact", "overwrite", ["month_start"]).drop("month_start")}
+    for name in CHECKED:
+        model = watch(name, getattr(Models(spark, inputs, settings, **done), name))
+        done[name] = save(model, f"{path}/{name}", "overwrite")
+    models = Models(spark, inputs, settings, **done)
+    parents = models.crosswalk.where("parent_as_of is null and fdic_top_holder is not null")
+    parents = parents.select("canonical_name", "fdic_top_holder").distinct()
+    return models, fused.evaluate({**done, "parents": parents}, rules, watched)

@@ -5,6 +5,7 @@ Each takes (spark, sf_dir) and returns a lazy DataFrame over whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce, wraps
 
@@ -17,9 +18,9 @@ from plaintlens.operators import checks, dims, entity, facts, history, maintain,
 from plaintlens.operators.lookup import apply_mapping
 from plaintlens.operators.metrics import metric, over_spine
 from plaintlens.plans import given
-from plaintlens.plans.build import Models, model_checks
+from plaintlens.plans.build import Models, store_checked
 from plaintlens.plans.given import models, table
-from plaintlens.session import tune
+from plaintlens.session import shared_folder, tune
 from plaintlens.sources.tables import describe_schema, materialize_lean
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -613,10 +614,9 @@ def check_grain(spark, sf):
 
 @query
 def check_summary(spark, sf):
-    """All checks over the model graph, in one job. Nothing is written; `plans.build.store` is for callers
-    who want the checks, or anything else, over stored models.
-    """
-    return checks.run_checks(model_checks(models(spark, sf)))
+    """All checks over the model graph, written to the shared folder for it: every table is read once."""
+    path = f"{shared_folder(spark)}/checked-{uuid.uuid4().hex}"
+    return store_checked(spark, given.GivenInputs(spark, sf), path, given.SETTINGS)[1]
 
 
 # --- history ------------------------------------------------------------------------------

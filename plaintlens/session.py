@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -39,3 +41,18 @@ def build_session(app: str = "plaintlens", **extra: str) -> SparkSession:
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the session's spark.checkpoint.dir names it.
+
+    Where none is named, one process on one machine gets a temporary folder; a cluster gets an error.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="plaintlens-")
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
