@@ -475,6 +475,23 @@ oracle(
         select *, coalesce(valid_to, valid_from) as updated_at,
             md5(raw_company_name || '|' || valid_from || ' 00:00:00') as row_id
         from versions""",
+    as_of_join="""
+        , numbered as (
+            select raw_company_name, canonical_name, cast(regexp_extract(raw_company_name, '[0-9]+') as int) as k from crosswalk),
+        listed(label, lo, hi, which) as (values
+            ('first', date '1992-06-01', date '1996-07-01', 'thirds'), ('first', date '1992-06-01', null, 'others'),
+            ('second', date '1996-07-01', date '1997-03-01', 'thirds'), ('third', date '1997-06-01', null, 'sixths'),
+            ('side', date '1996-01-01', date '1997-12-31', 'sevenths')),
+        versions as (
+            select raw_company_name, canonical_name, label as version, lo, hi,
+                lead(lo) over (partition by raw_company_name order by lo) as following
+            from numbered, listed
+            where case which when 'thirds' then k % 3 = 0 when 'others' then k % 3 <> 0
+                             when 'sixths' then k % 6 = 0 else k % 7 = 0 end),
+        named as (select complaint_id, date_received, company_name_normalized as raw_company_name from staged)
+        select n.*, v.version, v.canonical_name
+        from named n left join versions v on n.raw_company_name = v.raw_company_name and n.date_received >= v.lo
+            and n.date_received < coalesce(least(v.hi, v.following), date '9999-01-01')""",
     known_rebrands=f"select * from ({crosswalk('raw_names')}) where parent_as_of is not null",
     upsert_lookback="""
         , e as (select event_id, cast(ts as date) as day, event_type, value, 1 as version from events),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from plaintlens import defaults as D
 from plaintlens.functions import flags, text
-from plaintlens.operators import checks, dims, entity, facts, history, maintain, marts, profile
+from plaintlens.operators import asof, checks, dims, entity, facts, history, maintain, marts, profile
 from plaintlens.operators.lookup import apply_mapping
 from plaintlens.operators.metrics import metric, over_spine
 from plaintlens.plans import given
@@ -666,6 +666,34 @@ def company_history(spark, sf):
     return as_dates(kept)
 
 
+def name_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """A history of the crosswalk: renamed and closed companies, gaps, and versions that overlap."""
+    crosswalk = facts.clean_crosswalk(given.raw_crosswalk(spark, sf))
+    number = F.regexp_extract("raw_company_name", r"(\d+)", 1).cast("int")
+
+    def version(label: str, valid_from: str, valid_to: str | None, which: Column) -> Column:
+        return F.when(which, F.struct(
+            F.lit(label).alias("version"),
+            F.lit(valid_from).cast("timestamp").alias("valid_from"),
+            F.lit(valid_to).cast("timestamp").alias("valid_to")))
+
+    versions = F.array_compact(F.array(
+        version("first", "1992-06-01", "1996-07-01", number % 3 == 0),
+        version("first", "1992-06-01", None, number % 3 != 0),
+        version("second", "1996-07-01", "1997-03-01", number % 3 == 0),
+        version("third", "1997-06-01", None, number % 6 == 0),
+        version("side", "1996-01-01", "1997-12-31", number % 7 == 0)))
+    return crosswalk.select("raw_company_name", "canonical_name", F.inline(versions))
+
+
+@query
+def as_of_join(spark, sf):
+    """Every complaint with the version of its company's name that was in force when it was received."""
+    normalised = text.normalize_name(F.col("company_name"))
+    rows = raw(spark, sf).select("complaint_id", "date_received", normalised.alias("raw_company_name"))
+    return asof.as_of_join(rows, name_versions(spark, sf), "raw_company_name", "date_received", ["version", "canonical_name"])
+
+
 @query
 def known_rebrands(spark, sf):
     return history.known_changes(facts.clean_crosswalk(given.supplier_crosswalk(spark, sf)))
