@@ -87,6 +87,9 @@ oracle(
         from spine""",
     time_spine="select date_day from spine",
     monthly_components="select * from monthly",
+    complaints_read="select * from raw",
+    banks_read="select * from raw_banks",
+    seed_read="select * from raw_names",
     rollup_from_components=f"""
         select *, {ratio('timely_response_count', 'complaint_count')} as timely_response_rate,
             {ratio('routed_same_day_count', 'complaint_count')} as same_day_rate,
@@ -315,16 +318,17 @@ oracle(
     metric_over_spine="""
         select s.date_day as period, c.complaint_count
         from spine s left join (
-            select date_received, count(*) as complaint_count from fact
-            where company_name_normalized = 'NATION 22 HOLDINGS' group by all) c on s.date_day = c.date_received""",
+            select date_received, count(*) as complaint_count from fact group by all) c on s.date_day = c.date_received""",
     metric_over_spine_by="""
         , counted as (
-            select product_category, cast(date_trunc('month', date_received) as date) as period, count(*) as complaint_count
-            from fact where company_name_normalized = 'NATION 22 HOLDINGS' group by all)
-        select k.product_category, s.period, c.complaint_count
-        from (select distinct product_category from counted) k
+            select company_name_normalized, product_category, cast(date_trunc('month', date_received) as date) as period,
+                count(*) as complaint_count
+            from fact group by all)
+        select k.company_name_normalized, k.product_category, s.period, c.complaint_count
+        from (select distinct company_name_normalized, product_category from counted) k
         cross join (select distinct cast(date_trunc('month', date_day) as date) as period from spine) s
-        left join counted c on c.product_category is not distinct from k.product_category and c.period = s.period""",
+        left join counted c on c.product_category is not distinct from k.product_category
+            and c.company_name_normalized is not distinct from k.company_name_normalized and c.period = s.period""",
 )
 
 # checks

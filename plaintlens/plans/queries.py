@@ -21,7 +21,8 @@ from plaintlens.plans import given
 from plaintlens.plans.build import Models, store_checked
 from plaintlens.plans.given import models, table
 from plaintlens.session import shared_folder, tune
-from plaintlens.sources.tables import describe_schema, materialize_lean
+from plaintlens.sources import schemas
+from plaintlens.sources.tables import describe_schema, materialize_lean, read_banks, read_complaints, read_seed, save
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -196,6 +197,35 @@ def schema_listing(spark, sf):
     return describe_schema({name: table(spark, sf, name) for name in ("customer", "orders")}, with_rows=True)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the folder all executors share."""
+    return f"{shared_folder(spark)}/given-{uuid.uuid4().hex}"
+
+
+@query
+def complaints_read(spark, sf):
+    """The feed written by month and read back under its declared schema."""
+    feed, path = raw(spark, sf), scratch(spark)
+    save(feed.withColumn("month_start", F.trunc("date_received", "month")), path, "overwrite", ["month_start"])
+    return read_complaints(spark, path).select(*feed.columns)
+
+
+@query
+def banks_read(spark, sf):
+    banks, path = given.raw_banks(spark, sf), scratch(spark)
+    save(banks, path, "overwrite")
+    return read_banks(spark, path).select(*banks.columns)
+
+
+@query
+def seed_read(spark, sf):
+    """A lookup written as CSV with a header and read back, empty fields as NULL."""
+    crosswalk, path = given.supplier_crosswalk(spark, sf), scratch(spark)
+    crosswalk.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False).option("escape", '"').csv(path)
+    return read_seed(spark, path, schemas.CROSSWALK)
+
+
 @query
 def bank_staging(spark, sf):
     return bank_rows(spark, sf)
@@ -518,17 +548,16 @@ def metric_by_entity_dim(spark, sf):
 
 @query
 def metric_over_spine(spark, sf):
-    rare = metric(complaint_tables(spark, sf), "complaint_count", grain="day",
-                  where=F.col("company_name_normalized") == "NATION 22 HOLDINGS")
-    return over_spine(rare, dims.date_spine_over(raw(spark, sf), "date_received"), "day")
+    daily = metric(complaint_tables(spark, sf), "complaint_count", grain="day")
+    return over_spine(daily, dims.date_spine_over(raw(spark, sf), "date_received"), "day")
 
 
 @query
 def metric_over_spine_by(spark, sf):
-    """Every month for every product category, also those without complaints."""
-    monthly = metric(complaint_tables(spark, sf), "complaint_count", by=["product_category"], grain="month",
-                     where=F.col("company_name_normalized") == "NATION 22 HOLDINGS")
-    return over_spine(monthly, dims.date_spine_over(raw(spark, sf), "date_received"), "month", ["product_category"])
+    """Every month for every company name and product category that occur together, also those without complaints."""
+    by = ["company_name_normalized", "product_category"]
+    monthly = metric(complaint_tables(spark, sf), "complaint_count", by=by, grain="month")
+    return over_spine(monthly, dims.date_spine_over(raw(spark, sf), "date_received"), "month", by)
 
 
 # --- checks -------------------------------------------------------------------------------
@@ -615,8 +644,7 @@ def check_grain(spark, sf):
 @query
 def check_summary(spark, sf):
     """All checks over the model graph, written to the shared folder for it: every table is read once."""
-    path = f"{shared_folder(spark)}/checked-{uuid.uuid4().hex}"
-    return store_checked(spark, given.GivenInputs(spark, sf), path, given.SETTINGS)[1]
+    return store_checked(spark, given.GivenInputs(spark, sf), scratch(spark), given.SETTINGS)[1]
 
 
 # --- history ------------------------------------------------------------------------------
