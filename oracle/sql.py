@@ -321,14 +321,14 @@ oracle(
             select date_received, count(*) as complaint_count from fact group by all) c on s.date_day = c.date_received""",
     metric_over_spine_by="""
         , counted as (
-            select company_name_normalized, product_category, cast(date_trunc('month', date_received) as date) as period,
+            select state, product_category, cast(date_trunc('month', date_received) as date) as period,
                 count(*) as complaint_count
             from fact group by all)
-        select k.company_name_normalized, k.product_category, s.period, c.complaint_count
-        from (select distinct company_name_normalized, product_category from counted) k
+        select k.state, k.product_category, s.period, c.complaint_count
+        from (select distinct state, product_category from counted) k
         cross join (select distinct cast(date_trunc('month', date_day) as date) as period from spine) s
         left join counted c on c.product_category is not distinct from k.product_category
-            and c.company_name_normalized is not distinct from k.company_name_normalized and c.period = s.period""",
+            and c.state is not distinct from k.state and c.period = s.period""",
 )
 
 # checks

@@ -554,8 +554,8 @@ def metric_over_spine(spark, sf):
 
 @query
 def metric_over_spine_by(spark, sf):
-    """Every month for every company name and product category that occur together, also those without complaints."""
-    by = ["company_name_normalized", "product_category"]
+    """Every month for every state and product category that occur together, also those without complaints."""
+    by = ["state", "product_category"]
     monthly = metric(complaint_tables(spark, sf), "complaint_count", by=by, grain="month")
     return over_spine(monthly, dims.date_spine_over(raw(spark, sf), "date_received"), "month", by)
 
