@@ -7,8 +7,10 @@ all words would bury one slur among thousands of neutral words. Vectors and soft
 learned together: first every word takes the label of its texts, then each text teaches besides through the
 bag that decides it.
 
-Fitting reads at most SAMPLE labelled rows of each label (those with the smallest hash of their id) and
-their whole texts. Scoring reads every whole text, batch by batch; a batch scores each distinct word once.
+A gram that fitting never saw gives no evidence: it counts as what clean texts score.
+
+Fitting reads at most SAMPLE labelled ids of each label (those with the smallest hash) and one whole text of
+each, of several the one that sorts first. Scoring reads every whole text, batch by batch; a batch scores each distinct word once.
 
 Defined cases: null, empty and wordless texts get the score of a text whose only bag is neutral. Labels that are null,
 or of ids not in the documents, teach nothing; conflicting labels of one id count as toxic. Without
@@ -19,11 +21,12 @@ are scored and never learned from. Repeated rows are scored alike. Extra columns
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plaintlens.llm.common import in_fold, text_of
@@ -71,17 +74,21 @@ def grams_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Vectors, the softmax's difference of class weights, and its bias."""
+    """Vectors, the softmax's difference of class weights, and its bias.
+
+    A gram that no text taught says what a clean text says: it moves a bag's average towards `neutral`.
+    """
 
-    def __init__(self, vectors: np.ndarray, weights: np.ndarray, bias: float, neutral: float) -> None:
-        self.per_bucket, self.bias, self.neutral = (vectors @ weights).astype(np.float32), bias, neutral
+    def __init__(self, vectors: np.ndarray, weights: np.ndarray, bias: float, neutral: float, taught: np.ndarray) -> None:
+        self.neutral = neutral
+        self.per_bucket = np.where(taught, vectors @ weights + bias, neutral).astype(np.float32)
 
     def logits(self, words: pa.Array) -> np.ndarray:
         """Log odds of each word's bag."""
         if not len(words):
             return np.zeros(0, np.float32)
         buckets, word = grams_of(words)
-        return np.bincount(word, self.per_bucket[buckets], len(words)) / np.bincount(word, minlength=len(words)) + self.bias
+        return np.bincount(word, self.per_bucket[buckets], len(words)) / np.bincount(word, minlength=len(words))
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         """Probability of label 1 for each text."""
@@ -146,7 +153,9 @@ def fitted(lists: pa.ListArray, labels: np.ndarray, weights: np.ndarray, seed: i
     z = np.bincount(of_gram, (vectors @ softmax)[buckets], len(words)) / grams + bias
     of_text = np.maximum.reduceat(z[ids], starts)
     neutral = float(np.median(of_text[labels[full] == 0]))
-    return Model(vectors, softmax, bias, neutral)
+    taught = np.zeros(BUCKETS, bool)
+    taught[buckets] = True
+    return Model(vectors, softmax, bias, neutral, taught)
 
 
 def _sampled(docs: DataFrame, labels: DataFrame, most: int) -> tuple[DataFrame, dict[int, int]]:
@@ -154,9 +163,12 @@ def _sampled(docs: DataFrame, labels: DataFrame, most: int) -> tuple[DataFrame,
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     there = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     counts = {r["label"]: r["count"] for r in there.groupBy("label").count().collect()}
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = there.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
-    texts = docs.join(F.broadcast(chosen.select("doc_id", "label")), "doc_id").select("label", "text")
+    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = [there.where(F.col("label") == label).orderBy(*by_hash).limit(most) for label in sorted(counts)]
+    if not chosen:
+        chosen = [there.limit(0)]
+    mine = docs.join(F.broadcast(reduce(DataFrame.unionByName, chosen)), "doc_id")
+    texts = mine.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("label", "text")
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,7 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     if not 0 < label.sum() < len(label):
         log_odds = float(np.log(share / (1 - share))) if 0 < share < 1 else (40.0 if share else -40.0)
-        return Model(np.zeros((BUCKETS, 1)), np.zeros(1), log_odds, log_odds)
+        return Model(np.zeros((BUCKETS, 1)), np.zeros(1), log_odds, log_odds, np.ones(BUCKETS, bool))
     # each label weighs as in all labelled rows
     weight = np.where(label == 1, share / label.sum(), (1 - share) / (1 - label).sum()) * len(label)
     lists = rows["words"].combine_chunks()
