@@ -12,11 +12,12 @@ Jaccard similarity. Points later than any position can need are never drawn: the
 SIZE, not the text.
 
 Bands of ROWS values give bucket keys. At a similarity of 0.8, no bucket is shared with probability
-(1 - 0.8**4)**24 = 3e-6. Texts that are equal up to white space are one node from the start. In a bucket, each node is
-compared with the bucket's first node. After connecting what overlaps, the nodes of buckets that still hold several
-classes are compared across classes, where they share one of their rarest shingles: an exact condition
-for the overlap, which texts with a frequent passage in common don't meet. So every pair that shares a bucket and overlaps is
-connected. There is no cap on buckets or partners, and no pairs within one class.
+(1 - 0.8**4)**24 = 3e-6. Texts that are equal up to white space are one node from the start. The first node of each bucket
+stands for it. Each node is compared with the smallest of those that stand for its buckets; after connecting what
+overlaps, with the others whose class is another one. The nodes of buckets that still hold several classes are compared
+across classes, where they share a bucket and one of their rarest shingles, and where enough of the shingles after that one
+are left in both: exact conditions for the overlap, which texts with a frequent passage in common don't meet. So every
+pair that shares a bucket and overlaps is connected. There is no cap on buckets or partners, and no pairs within one class.
 
 Defined cases: null text counts as empty; texts without words are one class. A class's id is the
 smallest id in it, nulls last; repeated rows are in one class and one of them is kept. Empty tables
@@ -240,8 +241,10 @@ def _across(texts: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
 
     Two multisets that overlap by s share one of the w - ceil(s w) + 1 rarest members of each, in any common
     order of rarity. So texts that share a frequent passage and little else never meet, however many there are.
-    Members that only one text has decide nothing but how many of the others count. Of each shingle, the rows of its
-    most frequent root meet all others, and never each other.
+    Members that only one text has decide nothing but how many of the others count. The first member that two texts
+    share has few before it in either: with it, no more can be shared than are left in the one with fewer left. Pairs
+    without a bucket in common are not asked for. Of each shingle, the rows of its most frequent root meet all
+    others, and never each other.
     """
     fields = "node long, root long, weight long, member long"
 
@@ -258,21 +261,35 @@ def _across(texts: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
                 )
                 first += len(group)
 
-    listed = store(texts.join(nodes, "node").select("node", "root", "weight", "norm").mapInArrow(members, fields))
+    whole = texts.join(nodes.drop("keys"), "node").select("node", "root", "weight", "norm")
+    listed = store(whole.mapInArrow(members, fields))
     often = listed.groupBy("member").agg(F.count("*").alias("n"), (F.min("root") != F.max("root")).alias("shared")).where("n > 1")
     met = store(listed.join(store(often), "member"))
     by_node = Window.partitionBy("node")
     place = F.row_number().over(by_node.orderBy("n", "member"))
     alone = F.col("weight") - F.count("*").over(by_node)
     counted = F.col("weight") - F.ceil(F.col("weight") * F.lit(similarity) - 1e-9) + 1
-    rare = store(met.withColumn("place", place + alone).where(F.col("place") <= counted).where("shared").select("member", "node", "root", "weight"))
+    rare = store(met.withColumn("place", place + alone).where(F.col("place") <= counted).where("shared").select("member", "node", "root", "weight", "place"))
     by_root = rare.groupBy("member", "root").agg(F.count("*").alias("n"))
     main = store(by_root.groupBy("member").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1"))
-    open_rows = store(rare.join(main.select("member", F.col("top.root").alias("main")), "member"))
-    strays = store(open_rows.where("root != main").select("member", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("weight").alias("weight_a")))
-    others = open_rows.select("member", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("weight").alias("weight_b"), "main")
+    keys = nodes.select("node", "keys")
+    open_rows = store(rare.join(main.select("member", F.col("top.root").alias("main")), "member").join(keys, "node"))
+
+    def side(name: str) -> list:
+        return [F.col(c).alias(f"{c}_{name}") for c in ("root", "weight", "place", "keys")]
+
+    strays = store(open_rows.where("root != main").select("member", F.col("node").alias("a"), *side("a")))
+    others = open_rows.select("member", F.col("node").alias("b"), *side("b"), "main")
     once = (F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b"))
-    return strays.join(others, "member").where((F.col("root_a") != F.col("root_b")) & once)
+    left = F.least(F.col("weight_a") - F.col("place_a"), F.col("weight_b") - F.col("place_b")) + 1
+    needed = (F.col("weight_a") + F.col("weight_b")) * F.lit(similarity / (1 + similarity)) - 1e-9
+    likely = (left >= needed) & F.arrays_overlap("keys_a", "keys_b")
+    return strays.join(others, "member").where((F.col("root_a") != F.col("root_b")) & once & likely)
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of earlier components and further links."""
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links.select("a", "b")))
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -287,21 +304,30 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
     members = store(bands.join(buckets, "key"))
     of_rep = store(members.where("node = rep").select("key", F.col("weight").alias("weight_a"), F.col("node").alias("a")))
     followers = members.where("node != rep").select("key", F.col("node").alias("b"), F.col("weight").alias("weight_b"))
-    first = store(_comparable(followers.join(of_rep, "key"), similarity))
+    asked = store(_comparable(followers.join(of_rep, "key"), similarity))
 
     texts = _texts(docs, nodes, members)
-    links = store(_verified(first, texts, similarity))
-    roots = components(links)
+    # a pair is (smaller, larger), and what stands for a bucket is its smallest node
+    smallest = store(asked.groupBy("b").agg(F.min("a").alias("a")))
+    roots = store(components(store(_verified(smallest, texts, similarity))))
+    root_a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    root_b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    others = asked.join(smallest, ["a", "b"], "left_anti").join(root_a, "a", "left").join(root_b, "b", "left")
+    apart_yet = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+    also = store(_verified(store(others.where(apart_yet).select("a", "b")), texts, similarity))
+    if not also.isEmpty():
+        roots = store(_joined(roots, also))
 
     # what shares a bucket and is not connected yet
     labelled = members.select("key", "node", "weight").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     labelled = store(labelled)
     divided = labelled.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least != most")
-    apart = store(labelled.join(store(divided.select("key")), "key", "left_semi").select("node", "root", "weight").distinct())
-    second = store(_comparable(_across(texts, apart, similarity), similarity).join(first, ["a", "b"], "left_anti"))
+    open_members = labelled.join(store(divided.select("key")), "key", "left_semi")
+    apart = store(open_members.groupBy("node", "root", "weight").agg(F.collect_set("key").alias("keys")))
+    second = store(_comparable(_across(texts, apart, similarity), similarity).join(asked, ["a", "b"], "left_anti"))
     more = store(_verified(second, texts, similarity))
     if not more.isEmpty():
-        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+        roots = _joined(roots, more)
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return rows.select("doc_id", "digest"), store(rooted.select("digest", "node", F.col("first.id").alias("keep_id"), "size", "root"))
 

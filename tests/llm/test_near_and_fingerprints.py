@@ -1,10 +1,12 @@
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from plaintlens.llm import bagminhash, order_minhash
 from plaintlens.llm.wordhash import mixed, word_hashes
@@ -198,3 +200,22 @@ def test_short_texts_in_another_order_are_less_alike(spark):
 def test_empty_tables(nothing):
     assert bagminhash.classes(nothing).count() == bagminhash.keep_one(nothing).count() == 0
     assert order_minhash.fingerprints(nothing).count() == 0
+
+
+def test_texts_that_share_much_and_link_to_none_are_not_paired(spark):
+    """Similarity 0.70 to 0.79 among all of them, in one bucket: no pair of theirs is made; links among others are."""
+    pick = random.Random(4)
+    common = words(21, 200).split()
+    texts = []
+    for k in range(1200):
+        own = words(1000 + k, pick.randint(26, 40)).split()
+        texts.append(" ".join(common + own))
+    linked = words(50, 150).split()
+    texts += [" ".join(linked), " ".join(linked[:-4] + ["some", "other", "last", "words"])]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "node long, norm string")
+    weight = F.size(F.split("norm", " ")) - (bagminhash.WORDS - 1)
+    nodes = frame.select("node", F.col("node").alias("root"), weight.cast("long").alias("weight"), F.array(F.lit(7).cast("long")).alias("keys"))
+    pairs = {tuple(sorted((r.a, r.b))) for r in bagminhash._across(frame, nodes, 0.8).select("a", "b").collect()}
+    assert pairs == {(1200, 1201)}
+    elsewhere = nodes.withColumn("keys", F.array((F.col("node") + 10).cast("long")))
+    assert bagminhash._across(frame, elsewhere, 0.8).count() == 0
