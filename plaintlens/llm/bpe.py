@@ -22,6 +22,8 @@ import random
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,17 +48,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def _two_places(entries: list[tuple[int, int]], size: int) -> list[int]:
+def _joined(values: pa.Array) -> str:
+    """The values, null where there is none, with commas between."""
+    filled = pc.fill_null(values.cast(pa.string()), "null")
+    whole = pa.ListArray.from_arrays(pa.array([0, len(filled)], pa.int32()), filled)
+    return pc.binary_join(whole, ",")[0].as_py()
+
+
+def _two_places(one: np.ndarray, two: np.ndarray, size: int) -> list[int]:
     """The entry in each place of a table, or -1: every entry is in one of its two places.
 
     Entries that find no place are left out.
     """
     table, pick = [-1] * size, random.Random(0)
-    for entry in range(len(entries)):
+    for entry in range(len(one)):
         moving = entry
         for _ in range(500):
-            free = [p for p in entries[moving] if table[p] < 0]
-            place = free[0] if free else pick.choice(entries[moving])
+            both = int(one[moving]), int(two[moving])
+            free = [p for p in both if table[p] < 0]
+            place = free[0] if free else pick.choice(both)
             moving, table[place] = table[place], moving
             if moving < 0:
                 break
@@ -181,9 +191,12 @@ class Tokenizer:
 
     def packed(self, ids: Column) -> Column:
         """Token ids as little-endian unsigned 32-bit integers."""
-        words = [rank.to_bytes(4, "little").hex() for rank in range(len(self.pieces))]
-        literal = F.from_json(F.lit(json.dumps(words, separators=(",", ":"))), "array<string>")
-        return F.unhex(_let(literal, lambda w: F.array_join(F.transform(ids, lambda i: F.get(w, i)), "")))
+
+        def little(i: Column) -> Column:
+            digits = F.lpad(F.hex(i), 8, "0")
+            return F.concat(*(F.substring(digits, at, 2) for at in (7, 5, 3, 1)))
+
+        return F.unhex(F.array_join(F.transform(ids, little), ""))
 
     # ---- frames
 
@@ -197,14 +210,12 @@ class Tokenizer:
         self.slots = 1 << (2 * often.count()).bit_length()
         places = [F.pmod(hashed("word"), F.lit(self.slots)).alias(n) for n, hashed in (("one", F.hash), ("two", F.xxhash64))]
         ids = _let(self._maps(words=False), lambda maps: self.folded(maps, F.col("word")))
-        # JSON texts of words and ids, so that the driver holds no object for each of them
-        shown = [F.to_json(F.array("word")).alias("shown"), ids.cast("string").alias("ids")]
+        # JSON texts of words and ids, joined outside Python, so that the driver holds no object for each of them
+        shown = [F.expr("substring(to_json(array(word)), 2, length(to_json(array(word))) - 2)").alias("shown"), ids.cast("string").alias("ids")]
         rows = often.repartition(2 * often.sparkSession.sparkContext.defaultParallelism).select(*places, *shown).toArrow()
-        one, two = rows["one"].to_pylist(), rows["two"].to_pylist()
-        table = _two_places(list(zip(one, two, strict=True)), self.slots)
-        word, ids_of = rows["shown"].combine_chunks(), rows["ids"].combine_chunks()
-        shown_words = ",".join("null" if e < 0 else word[e].as_py()[1:-1] for e in table)
-        shown_ids = ",".join("null" if e < 0 else ids_of[e].as_py() for e in table)
+        table = np.array(_two_places(rows["one"].to_numpy(), rows["two"].to_numpy(), self.slots), np.int64)
+        entry = pa.array(table, mask=table < 0)
+        shown_words, shown_ids = (_joined(rows[c].combine_chunks().take(entry)) for c in ("shown", "ids"))
         self.words = f'"words":[{shown_words}],"ids":[{shown_ids}]'
         drop(often)
         return self
