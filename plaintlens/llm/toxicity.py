@@ -74,14 +74,14 @@ def grams_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Vectors, the softmax's difference of class weights, and its bias.
+    """The softmax's log odds for each bucket's vector, and those of a clean text.
 
-    A gram that no text taught says what a clean text says: it moves a bag's average towards `neutral`.
+    A bag's log odds are the average of its grams': the softmax is linear. A gram that no text taught says what a
+    clean text says: it moves a bag's average towards `neutral`.
     """
 
-    def __init__(self, vectors: np.ndarray, weights: np.ndarray, bias: float, neutral: float, taught: np.ndarray) -> None:
-        self.neutral = neutral
-        self.per_bucket = np.where(taught, vectors @ weights + bias, neutral).astype(np.float32)
+    def __init__(self, per_bucket: np.ndarray, neutral: float) -> None:
+        self.per_bucket, self.neutral = per_bucket, neutral
 
     def logits(self, words: pa.Array) -> np.ndarray:
         """Log odds of each word's bag."""
@@ -155,7 +155,7 @@ def fitted(lists: pa.ListArray, labels: np.ndarray, weights: np.ndarray, seed: i
     neutral = float(np.median(of_text[labels[full] == 0]))
     taught = np.zeros(BUCKETS, bool)
     taught[buckets] = True
-    return Model(vectors, softmax, bias, neutral, taught)
+    return Model(np.where(taught, vectors @ softmax + bias, neutral).astype(np.float32), neutral)
 
 
 def _sampled(docs: DataFrame, labels: DataFrame, most: int) -> tuple[DataFrame, dict[int, int]]:
@@ -180,18 +180,23 @@ def _sampled(docs: DataFrame, labels: DataFrame, most: int) -> tuple[DataFrame,
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
-    """Fit on at most `most` rows of each label; docs and labels hold only rows one may learn from."""
+    """Fit on at most `most` ids of each label; docs and labels hold only rows one may learn from."""
     sample, counts = _sampled(docs, labels, most)
-    rows = sample.toArrow()
-    label = rows["label"].to_numpy().astype(float)
     share = counts.get(1, 0) / max(1, sum(counts.values()))
-    if not 0 < label.sum() < len(label):
-        log_odds = float(np.log(share / (1 - share))) if 0 < share < 1 else (40.0 if share else -40.0)
-        return Model(np.zeros((BUCKETS, 1)), np.zeros(1), log_odds, log_odds, np.ones(BUCKETS, bool))
-    # each label weighs as in all labelled rows
-    weight = np.where(label == 1, share / label.sum(), (1 - share) / (1 - label).sum()) * len(label)
-    lists = rows["words"].combine_chunks()
-    return fitted(lists if isinstance(lists, pa.ListArray) else lists.chunk(0), label, weight)
+    if not 0 < share < 1:
+        log_odds = 40.0 if share else -40.0
+        return Model(np.full(BUCKETS, log_odds, np.float32), log_odds)
+
+    def fit(rows: pa.Table) -> pa.Table:
+        label = rows["label"].to_numpy().astype(float)
+        # each label weighs as in all labelled rows
+        weight = np.where(label == 1, share / label.sum(), (1 - share) / (1 - label).sum()) * len(label)
+        model = fitted(rows["words"].combine_chunks(), label, weight)
+        return pa.table({"buckets": [model.per_bucket.tobytes()], "neutral": [model.neutral]})
+
+    # one bounded group, fitted in a task: the driver only gets the model
+    row = sample.groupBy().applyInArrow(fit, "buckets binary, neutral double").first()
+    return Model(np.frombuffer(row["buckets"], np.float32), row["neutral"])
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
