@@ -236,15 +236,13 @@ def _comparable(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.where(smaller >= larger * similarity).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _across(texts: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of nodes with different roots that may overlap enough, by their rarest shingles.
+def _rare(texts: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The rarest members of nodes' multisets, as many as decide whether they overlap enough with others.
 
     Two multisets that overlap by s share one of the w - ceil(s w) + 1 rarest members of each, in any common
     order of rarity. So texts that share a frequent passage and little else never meet, however many there are.
-    Members that only one text has decide nothing but how many of the others count. The first member that two texts
-    share has few before it in either: with it, no more can be shared than are left in the one with fewer left. Pairs
-    without a bucket in common are not asked for. Of each shingle, the rows of its most frequent root meet all
-    others, and never each other.
+    Members that only one text has decide nothing but how many of the others count. Each row has its place in that
+    order and the buckets of its node.
     """
     fields = "node long, root long, weight long, member long"
 
@@ -269,17 +267,32 @@ def _across(texts: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     place = F.row_number().over(by_node.orderBy("n", "member"))
     alone = F.col("weight") - F.count("*").over(by_node)
     counted = F.col("weight") - F.ceil(F.col("weight") * F.lit(similarity) - 1e-9) + 1
-    rare = store(met.withColumn("place", place + alone).where(F.col("place") <= counted).where("shared").select("member", "node", "root", "weight", "place"))
-    by_root = rare.groupBy("member", "root").agg(F.count("*").alias("n"))
-    main = store(by_root.groupBy("member").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1"))
-    keys = nodes.select("node", "keys")
-    open_rows = store(rare.join(main.select("member", F.col("top.root").alias("main")), "member").join(keys, "node"))
+    rare = met.withColumn("place", place + alone).where(F.col("place") <= counted).where("shared").select("member", "node", "root", "weight", "place")
+    return store(rare.join(nodes.select("node", "keys"), "node"))
+
+
+def _across(rare: DataFrame, similarity: float, every: bool) -> DataFrame:
+    """Pairs of nodes with different roots that may overlap enough, by a member they share.
+
+    Of each member, the rows of its most frequent root never meet each other. All others, the strays, meet one
+    of them, or, with `every`, all of them and each other. The first member that two texts share
+    has few before it in either: with it, no more can be shared than are left in the one with fewer left. Pairs without a
+    bucket in common are not asked for.
+    """
+    fields = ("node", "root", "weight", "place", "keys")
+    by_root = rare.groupBy("member", "root").agg(F.count("*").alias("n"), F.min_by(F.struct(*fields), F.struct("place", "node")).alias("one"))
+    top = F.max(F.struct("n", "root", "one")).alias("top")
+    main = store(by_root.groupBy("member").agg(top, F.count("*").alias("roots")).where("roots > 1"))
+    open_rows = store(rare.join(main.select("member", F.col("top.root").alias("main")), "member"))
 
     def side(name: str) -> list:
-        return [F.col(c).alias(f"{c}_{name}") for c in ("root", "weight", "place", "keys")]
+        return [F.col("node").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in fields[1:])]
 
-    strays = store(open_rows.where("root != main").select("member", F.col("node").alias("a"), *side("a")))
-    others = open_rows.select("member", F.col("node").alias("b"), *side("b"), "main")
+    strays = store(open_rows.where("root != main").select("member", *side("a")))
+    if every:
+        others = open_rows.select("member", *side("b"), "main")
+    else:
+        others = main.select("member", "top.one.*").select("member", *side("b"), F.col("root").alias("main"))
     once = (F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b"))
     left = F.least(F.col("weight_a") - F.col("place_a"), F.col("weight_b") - F.col("place_b")) + 1
     needed = (F.col("weight_a") + F.col("weight_b")) * F.lit(similarity / (1 + similarity)) - 1e-9
@@ -324,10 +337,14 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
     divided = labelled.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least != most")
     open_members = labelled.join(store(divided.select("key")), "key", "left_semi")
     apart = store(open_members.groupBy("node", "root", "weight").agg(F.collect_set("key").alias("keys")))
-    second = store(_comparable(_across(texts, apart, similarity), similarity).join(asked, ["a", "b"], "left_anti"))
-    more = store(_verified(second, texts, similarity))
-    if not more.isEmpty():
-        roots = _joined(roots, more)
+    rare = _rare(texts, apart, similarity)
+    for every in (False, True):  # most strays that link at all link to the first they meet
+        pairs = store(_comparable(_across(rare, similarity, every), similarity).join(asked, ["a", "b"], "left_anti"))
+        more = store(_verified(pairs, texts, similarity))
+        if not more.isEmpty():
+            roots = store(_joined(roots, more))
+            rare = rare.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            rare = store(rare.select("member", "node", "root", "weight", "place", "keys"))
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return rows.select("doc_id", "digest"), store(rooted.select("digest", "node", F.col("first.id").alias("keep_id"), "size", "root"))
 

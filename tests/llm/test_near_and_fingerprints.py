@@ -215,7 +215,8 @@ def test_texts_that_share_much_and_link_to_none_are_not_paired(spark):
     frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "node long, norm string")
     weight = F.size(F.split("norm", " ")) - (bagminhash.WORDS - 1)
     nodes = frame.select("node", F.col("node").alias("root"), weight.cast("long").alias("weight"), F.array(F.lit(7).cast("long")).alias("keys"))
-    pairs = {tuple(sorted((r.a, r.b))) for r in bagminhash._across(frame, nodes, 0.8).select("a", "b").collect()}
-    assert pairs == {(1200, 1201)}
+    for every in (False, True):
+        found = bagminhash._across(bagminhash._rare(frame, nodes, 0.8), 0.8, every)
+        assert {tuple(sorted((r.a, r.b))) for r in found.select("a", "b").collect()} == {(1200, 1201)}
     elsewhere = nodes.withColumn("keys", F.array((F.col("node") + 10).cast("long")))
-    assert bagminhash._across(frame, elsewhere, 0.8).count() == 0
+    assert bagminhash._across(bagminhash._rare(frame, elsewhere, 0.8), 0.8, True).count() == 0
