@@ -191,12 +191,9 @@ class Tokenizer:
 
     def packed(self, ids: Column) -> Column:
         """Token ids as little-endian unsigned 32-bit integers."""
-
-        def little(i: Column) -> Column:
-            digits = F.lpad(F.hex(i), 8, "0")
-            return F.concat(*(F.substring(digits, at, 2) for at in (7, 5, 3, 1)))
-
-        return F.unhex(F.array_join(F.transform(ids, little), ""))
+        words = ",".join(f'"{rank.to_bytes(4, "little").hex()}"' for rank in range(len(self.pieces)))
+        literal = F.from_json(F.lit(f"[{words}]"), "array<string>")
+        return F.unhex(_let(literal, lambda w: F.array_join(F.transform(ids, lambda i: F.get(w, i)), "")))
 
     # ---- frames
 
