@@ -2,25 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plaintlens.session import shared_folder
+
 #: A group with more than one part in HEAVY_PARTS of all rows is heavy; there are fewer than HEAVY_PARTS.
 HEAVY_PARTS = 1024
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the cluster names it; a new one where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="plaintlens-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
 def store(df: DataFrame) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
