@@ -2,19 +2,18 @@
 
 A text is a sequence of pieces: its words, those of more than PIECE characters cut. Runs of RUN pieces
 are its k-mers, numbered by occurrence so that a repeated k-mer counts each time. Hashes deal the numbered
-k-mers into BINS bins. A sketch has a position for each bin: the TUPLE first k-mers from the bin's start
+k-mers into BINS bins. A fingerprint has a position for each bin: the TUPLE first k-mers from the bin's start
 on, in the order of their hashes and around its end, are put back into text order and hashed together to three
 digits. Two texts agree in a position if they share its k-mers and have them in the same order. Each position is by itself a
 minimal TUPLE-set under a random order (the hashes, turned by the bin's start); positions of texts with
-few k-mers have k-mers in common, so their likeness varies more than under BINS independent hashes. Likeness compares sketches.
-A fingerprint lists, for each bin that is not empty, one character for the bin and three digits of the
-hash of the bin's own TUPLE smallest k-mers. A bin with a single k-mer hashes that alone, without order.
+few k-mers have k-mers in common, so their likeness varies more than under BINS independent hashes. Likeness compares
+fingerprints, which are written in hexadecimal digits.
 
 All work is built-in expressions. Hash and position share one number, so that a text needs one sort
 of numbers; only texts in which a k-mer repeats need a second one, to number the occurrences.
 
-Defined cases: null text counts as empty and has the empty fingerprint and sketch, as has a text without words; two empty
-sketches are alike (1.0). Fewer than RUN pieces are one k-mer, and a single k-mer is hashed alone. Rows are ordered by doc_id, nulls
+Defined cases: null text counts as empty and has the empty fingerprint, as has a text without words; two empty
+fingerprints are alike (1.0). Fewer than RUN pieces are one k-mer, and a single k-mer is hashed alone. Rows are ordered by doc_id, nulls
 first, then by content; repeated rows follow each other. A single row is its own next document. Empty tables give empty
 results. Texts of any length are read whole; positions past 2**24 count as the last. Extra columns take no part.
 """
@@ -33,7 +32,6 @@ TUPLE = 2
 POSITION_BITS = 24
 #: Rows of one part of the id order, about.
 PART = 4096
-LETTERS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+-"
 
 
 def _let(value: Column, body) -> Column:
@@ -117,19 +115,8 @@ def _of_kmers(text: Column, body) -> Column:
     return _let(_let(_runs(pieces), elements), lambda found: _let(F.array_sort(found), opened))
 
 
-def _listed(ordered: Column, opens: Column) -> Column:
-    """The fingerprint: an entry for each occupied bin."""
-
-    def entry(i: Column) -> Column:
-        x, other = F.get(ordered, i), F.get(ordered, i + 1)
-        digest = F.when(_bin(other) == _bin(x), _in_text_order(x, other)).otherwise(F.xxhash64(_value(x)))
-        return F.concat(F.substr(F.lit(LETTERS), (_bin(x) + BINS // 2 + 1).cast("int"), F.lit(1)), _digits(digest))
-
-    return F.array_join(F.transform(opens, entry), "")
-
-
-def _sketched(ordered: Column, opens: Column) -> Column:
-    """The sketch: for each bin, the TUPLE first k-mers from its start on, around the end of the order."""
+def _positions(ordered: Column, opens: Column) -> Column:
+    """The digits: for each bin, the TUPLE first k-mers from its start on, around the end of the order."""
 
     def entry(i: Column) -> Column:
         x, other = F.get(ordered, i), F.get(ordered, F.pmod(i + 1, F.size(ordered)))
@@ -144,17 +131,12 @@ def _sketched(ordered: Column, opens: Column) -> Column:
 
 
 def fingerprint(text: Column) -> Column:
-    """The fingerprint of a text."""
-    return _of_kmers(text, _listed)
-
-
-def signature(text: Column) -> Column:
-    """Fingerprint and sketch (its digits as bytes) of a text, from one sort of its k-mers."""
-    return _of_kmers(text, lambda ordered, opens: F.struct(_listed(ordered, opens).alias("fingerprint"), F.unhex(_sketched(ordered, opens)).alias("sketch")))
+    """The fingerprint of a text, its digits as bytes."""
+    return _of_kmers(text, lambda ordered, opens: F.unhex(_positions(ordered, opens)))
 
 
 def likeness(one: Column, other: Column) -> Column:
-    """Share of the positions in which two sketches agree."""
+    """Share of the positions in which two fingerprints agree."""
     one, other = F.hex(one), F.hex(other)
     digits = [F.regexp_extract_all(s, F.lit(".{3}"), F.lit(0)) for s in (one, other)]
     same = F.size(F.filter(F.zip_with(*digits, lambda a, b: a == b), lambda agree: agree))
@@ -208,21 +190,20 @@ def edited(docs: DataFrame) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """Fingerprints and sketches of every document and of its edited text, and the likeness of its sketch to that and to the next."""
+    """Fingerprints of every document and of its edited text, and the likeness of the first to the second and to the next document's."""
     made = store(
         edited(docs).select(
             "key", "n_chars", "following",
             F.unhex(F.sha2("edited", 256)).alias("edited_sha256"),
-            signature(F.col("text")).alias("of_text"),
-            signature(F.col("edited")).alias("of_edited"),
+            fingerprint(F.col("text")).alias("of_text"),
+            fingerprint(F.col("edited")).alias("of_edited"),
         )
     )
-    others = made.select(F.col("key.part").alias("n_part"), F.col("key.place").alias("n_place"), F.col("of_text.sketch").alias("next_sketch"))
+    others = made.select(F.col("key.part").alias("n_part"), F.col("key.place").alias("n_place"), F.col("of_text").alias("of_next"))
     met = made.join(others, (F.col("following.part") == F.col("n_part")) & (F.col("following.place") == F.col("n_place")))
     return met.select(
         F.col("key.own.doc_id").alias("doc_id"), "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
-        F.col("of_text.fingerprint").alias("fingerprint"), F.col("of_edited.fingerprint").alias("edited_fingerprint"),
-        F.hex("of_text.sketch").alias("sketch"), F.hex("of_edited.sketch").alias("edited_sketch"),
-        likeness(F.col("of_text.sketch"), F.col("of_edited.sketch")).alias("near_edited"),
-        likeness(F.col("of_text.sketch"), F.col("next_sketch")).alias("near_next"),
+        F.hex("of_text").alias("fingerprint"), F.hex("of_edited").alias("edited_fingerprint"),
+        likeness(F.col("of_text"), F.col("of_edited")).alias("near_edited"),
+        likeness(F.col("of_text"), F.col("of_next")).alias("near_next"),
     )
