@@ -6,6 +6,7 @@ from oracle.prelude import (
     clean_zip, crosswalk, display, implied, lit, n, norm, ratio, rnd, sql, sql_over, stripped, trim, zip_shape,
 )
 from plaintlens import defaults as D
+from plaintlens.plans.queries import CATEGORY_PAIRS, GRAINS
 from plaintlens.plans.rules import LISTED, REQUIRED, UNIQUE
 
 ORACLE: dict[str, str] = {}
@@ -674,3 +675,70 @@ oracle(
             from banks where top_holder is not null group by top_holder) f on d.fdic_top_holder = f.top_holder
         where d.category = 'bank'""",
 )
+
+
+# components that roll up, orders of all rows
+MEASURED = f"""count(*) as complaint_count, {n('timely_response')} as timely_response_count,
+    {n('days_to_company = 0')} as routed_same_day_count, cast(sum(days_to_company) as bigint) as sum_days_to_company,
+    {n('is_dispute_era')} as complaint_count_dispute_era, {n('is_narrative_era')} as complaint_count_narrative_era,
+    case when {n('is_dispute_era')} > 0 then {n('is_dispute_era and consumer_disputed')} end as disputed_count,
+    case when {n('is_narrative_era')} > 0 then {n('is_narrative_era and has_narrative')} end as narrative_count"""
+
+
+def one_grain(grain: str, kept: list[str]) -> str:
+    """A single rollup with the columns of all."""
+    period = "cast(null as date)" if grain == "all" else month("date_received", grain)
+    dims = ", ".join(f"{d if d in kept else 'cast(null as varchar)'} as {d}, {str(d not in kept).lower()} as all_{d}"
+                     for d in ("product_category", "category", "state"))
+    keys = ", ".join([*([] if grain == "all" else [period]), *kept])
+    return f"select '{grain}' as grain, {period} as period_start, {dims}, {MEASURED} from fact" + (f" group by {keys}" if keys else "")
+
+
+def in_rank(p: int) -> str:
+    return f"min(case when upto * 100 >= whole * {p} then days_to_company end) as p{p}_exact, true as p{p}_within"
+
+
+def windows(order: str, value: str) -> str:
+    return (f"rank() over o as rank, percent_rank() over o as percent_rank, cume_dist() over o as cume_dist, "
+            f"cast(sum({value}) over (order by {order}) as bigint) as running_{value}")
+
+
+oracle(
+    many_grains=f"""
+        , x as ({" union all ".join(one_grain(grain, kept) for grain, kept in GRAINS)})
+        select *, {ratio('timely_response_count', 'complaint_count')} as timely_response_rate,
+            {ratio('routed_same_day_count', 'complaint_count')} as same_day_rate,
+            {ratio('sum_days_to_company', 'complaint_count')} as avg_days_to_company,
+            {ratio('disputed_count', 'complaint_count_dispute_era')} as dispute_rate,
+            {ratio('narrative_count', 'complaint_count_narrative_era')} as narrative_rate
+        from x""",
+    lag_rollup=f"""
+        , x as (
+            select bank_size_bucket, product_category, {month('date_received', 'quarter')} as quarter_start, days_to_company, count(*) as n
+            from fact join bank_dim using (company_sk) where days_to_company is not null group by all),
+        y as (
+            select *, sum(n) over (g order by days_to_company) as upto, sum(n) over g as whole
+            from x window g as (partition by bank_size_bucket, product_category, quarter_start))
+        select bank_size_bucket, product_category, quarter_start, cast(any_value(whole) as bigint) as values_count,
+            {in_rank(50)}, {in_rank(90)}, {in_rank(99)}
+        from y group by all""",
+    distinct_rollup=f"""
+        select {month('date_received', 'quarter')} as quarter_start, product_category,
+            count(distinct company_name_normalized) as distinct_count
+        from fact group by all""",
+    distinct_common=f"""
+        , x as (select distinct product_category, company_name_normalized as name from fact where company_name_normalized is not null),
+        asked as (select * from (values {', '.join(map(str, CATEGORY_PAIRS))}) as t (first, second))
+        select first, second, count(*) filter (name in (select name from x where product_category = second)) as in_both,
+            count(*) filter (name not in (select name from x where product_category = second)) as in_first_only
+        from asked join x on product_category = first
+        where second in (select product_category from x) group by all""",
+    ranked_complaints=f"""
+        , x as (select complaint_id, date_received, cast(date_sent_to_company - date_received as int) as days from raw)
+        select *, {windows('days desc nulls last, date_received nulls first', 'days')}
+        from x window o as (order by days desc nulls last, date_received nulls first)""",
+    ranked_banks=f"""
+        select fdic_certificate_number, offices_count, total_assets, {windows('offices_count nulls first', 'total_assets')}
+        from raw_banks window o as (order by offices_count nulls first)""",
+)
+ORACLE["company_history_stored"] = ORACLE["company_history"]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from plaintlens import defaults as D
 from plaintlens.functions import flags, text
-from plaintlens.operators import asof, checks, dims, entity, facts, history, maintain, marts, profile
+from plaintlens.operators import asof, checks, dims, entity, facts, grains, history, maintain, marts, ordered, profile, sketches
 from plaintlens.operators.lookup import apply_mapping
 from plaintlens.operators.metrics import metric, over_spine
 from plaintlens.plans import given
@@ -23,6 +23,7 @@ from plaintlens.plans.given import models, table
 from plaintlens.session import shared_folder, tune
 from plaintlens.sources import schemas
 from plaintlens.sources.tables import describe_schema, materialize_lean, read_banks, read_complaints, read_seed, save
+from plaintlens.streaming import versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -163,6 +164,67 @@ def rollup_from_components(spark, sf):
     return marts.rollup_components(models(spark, sf).monthly, ["bank_size_bucket", "product_category"])
 
 
+#: Period and dimensions of each rollup that one read of the fact answers.
+GRAINS = [
+    ("day", []), ("month", []), ("quarter", []), ("year", []), ("all", []),
+    ("month", ["product_category"]), ("quarter", ["product_category", "category"]), ("year", ["category"]),
+    ("year", ["state"]), ("all", ["product_category", "state"]), ("all", ["category"]),
+]
+
+
+@query
+def many_grains(spark, sf):
+    """Measures and rates at eleven grains, from one read and one fold of the fact."""
+    return grains.many_grains(models(spark, sf).fact, GRAINS)
+
+
+@query
+def lag_rollup(spark, sf):
+    """Quantiles of the lag by tier, category and quarter from sketches of the months, beside the exact ones."""
+    m = models(spark, sf)
+    tiers = m.bank_dim.select("company_sk", "bank_size_bucket")
+    months = sketches.lag_cells(m.fact.withColumn("month_start", F.trunc("date_received", "month")), ["company_sk", "month_start", "product_category"])
+    by = ["bank_size_bucket", "product_category", "quarter_start"]
+    found = sketches.quantiles(months.join(tiers, "company_sk").withColumn("quarter_start", F.trunc("month_start", "quarter")), by)
+    counted = m.fact.groupBy("company_sk", "product_category", F.trunc("date_received", "quarter").alias("quarter_start"), "days_to_company").count()
+    return sketches.judged(found, counted.join(tiers, "company_sk"), by, "days_to_company", weight="count")
+
+
+def company_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Companies complained about, sketched for each month and product category."""
+    fact = models(spark, sf).fact.withColumn("month_start", F.trunc("date_received", "month"))
+    return sketches.distinct_cells(fact, "company_name_normalized", ["month_start", "product_category"])
+
+
+@query
+def distinct_rollup(spark, sf):
+    """Companies complained about by quarter and category, from sketches of the months."""
+    cells = company_cells(spark, sf).withColumn("quarter_start", F.trunc("month_start", "quarter"))
+    return sketches.distinct(cells, ["quarter_start", "product_category"])
+
+
+CATEGORY_PAIRS = [("mortgage", "banking"), ("card", "banking"), ("credit_reporting", "debt_collection"), ("payments", "mortgage")]
+
+
+@query
+def distinct_common(spark, sf):
+    """Companies complained about in both of two categories, and in the first of them only."""
+    return sketches.common(company_cells(spark, sf), "product_category", CATEGORY_PAIRS)
+
+
+@query
+def ranked_complaints(spark, sf):
+    """Every complaint's rank and share by lag and date, and the days that all up to it add up to."""
+    feed = raw(spark, sf).select("complaint_id", "date_received", F.datediff("date_sent_to_company", "date_received").alias("days"))
+    return ordered.ranked(feed, {"days": False, "date_received": True}, ["days"])
+
+
+@query
+def ranked_banks(spark, sf):
+    """Every institution by offices: rank, share, and running assets; many have as many offices, some none known."""
+    return ordered.ranked(given.raw_banks(spark, sf).select("fdic_certificate_number", "offices_count", "total_assets"), {"offices_count": True}, ["total_assets"])
+
+
 @query
 def tier_rollup(spark, sf):
     return marts.tier_rollup(models(spark, sf).bank_metrics)
@@ -678,9 +740,8 @@ def scd2_as_of(spark, sf):
     return as_dates(history.scd2_as_of(customer_versions(spark, sf), "2020-12-31 00:00:00"))
 
 
-@query
-def company_history(spark, sf):
-    """Crosswalk versions by canonical name and holder; an edit of the category alone opens none."""
+def company_feeds(spark: SparkSession, sf: str) -> list[tuple[DataFrame, str]]:
+    """Crosswalk versions and when they come: an edit of the category alone opens none."""
     first = facts.clean_crosswalk(given.supplier_crosswalk(spark, sf))
     second = first.withColumns({
         "canonical_name": F.when(F.col("category") == "fintech", F.concat("canonical_name", F.lit(" Digital")))
@@ -688,12 +749,31 @@ def company_history(spark, sf):
         "category": F.when(F.col("category") == "bank", "regional bank").otherwise(F.col("category")),
     })
     third = second.withColumn("fdic_top_holder", F.when(F.col("parent_as_of").isNull(), F.col("fdic_top_holder")))
-    checked, kept = ["canonical_name", "fdic_top_holder"], None
-    for feed, at in ((first, "2020-01-01"), (second, "2021-01-01"), (third, "2022-01-01")):
-        kept = history.scd2_merge(kept, feed, "raw_company_name", checked, f"{at} 00:00:00")
+    return [(first, "2020-01-01 00:00:00"), (second, "2021-01-01 00:00:00"), (third, "2022-01-01 00:00:00")]
+
+
+COMPANY_CHECKED = ["canonical_name", "fdic_top_holder"]
+
+
+@query
+def company_history(spark, sf):
+    """Crosswalk versions by canonical name and holder."""
+    kept = None
+    for feed, at in company_feeds(spark, sf):
+        kept = history.scd2_merge(kept, feed, "raw_company_name", COMPANY_CHECKED, at)
     return as_dates(kept)
 
 
+@query
+def company_history_stored(spark, sf):
+    """The same history as a stored table, each feed merged into the rows in force; the last one comes twice."""
+    path, (first, *later) = scratch(spark), company_feeds(spark, sf)
+    versions.create_history(first[0], path, "raw_company_name", COMPANY_CHECKED, first[1])
+    for feed, at in [*later, later[-1]]:
+        versions.merge_history(feed, path, "raw_company_name", COMPANY_CHECKED, at)
+    return as_dates(versions.read_history(spark, path))
+
+
 def name_versions(spark: SparkSession, sf: str) -> DataFrame:
     """A history of the crosswalk: renamed and closed companies, gaps, and versions that overlap."""
     crosswalk = facts.clean_crosswalk(given.raw_crosswalk(spark, sf))
