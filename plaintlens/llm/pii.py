@@ -3,8 +3,8 @@
 Candidates are all matches of the base patterns, passing their check or not, and matches of wider shapes
 (spelled-out mail addresses, national phone numbers, identity numbers, names after a form of address).
 Regex, gazetteer and context labelers vote 1, 0 or abstain on each candidate. Expectation
-maximisation over the vote patterns estimates how reliable each labeler is and how likely each
-pattern is personal data; a logistic span classifier is then trained on these soft labels over votes
+maximisation over the vote patterns of each kind estimates how reliable each labeler is, its abstaining included, and how
+likely each pattern is personal data; a logistic span classifier is then trained on these soft labels over votes
 and shape features, so that it also judges by features no labeler votes on. Base spans always stay;
 the classifier adds wider candidates that touch no base span.
 
@@ -57,10 +57,20 @@ WIDE = {
 }
 
 # fixed values of the gazetteers and cues
-DOMAINS = "com org net edu gov io info biz de fr es uk eu us ca it nl ch at be co ai app dev example"
+DOMAINS = """com org net edu gov mil int info biz name pro mobi tel travel jobs museum aero coop asia cat app dev blog shop store
+online site tech cloud email example test"""
+#: Any two letters are taken for the domain of a country.
+COUNTRY = "[a-z]{2}"
+CALLING_CODES = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 54 55 56 57 60 61 62 63 64 65 66 81 82 84 86 90 91 92 351 353 358 380 420"
 GIVEN_NAMES = """james mary john patricia robert jennifer michael linda david elizabeth william barbara richard susan
 joseph jessica thomas sarah charles karen daniel nancy peter paul anna maria hans klaus julia marie jean pierre
-jose juan carlos carmen luis ana pedro sofia laura emma"""
+jose juan carlos carmen luis ana pedro sofia laura emma christopher lisa matthew betty anthony sandra mark margaret
+steven ashley andrew kimberly george emily edward donna brian michelle kevin carol ronald amanda timothy melissa jason
+deborah jeffrey stephanie ryan rebecca jacob sharon gary cynthia nicholas kathleen eric amy jonathan angela stephen
+larry justin helen scott brandon benjamin samuel gregory alexander frank patrick raymond jack dennis
+jerry wolfgang ursula monika petra stefan andreas sabine martin heike jurgen gisela friedrich sebastian johanna
+francois nathalie isabelle philippe sylvie nicolas camille antoine chantal jacques claire louis
+francisco antonio manuel javier isabel pilar teresa miguel rafael fernando lucia elena diego pablo alejandro"""
 CUES = r"(?i)\b(?:tel|telephone|telefon|phone|call|mobile|cell|fax|contact|kontakt|e-?mail|mail|write|reach|address|card|visa|mastercard|credit|pay|ip|host|ssn|social|passport|name|signed|dear)\b"
 AGAINST = r"(?i)\b(?:order|invoice|isbn|issn|version|release|page|price|total|ref|sku|line|figure|table|section|chapter|serial|build|doi)\b[^\p{L}]*$"
 
@@ -126,10 +136,10 @@ def votes(kind: str, base: bool, hit: Column, before: Column) -> list[Column]:
         "name": _vote(hit.rlike(r"\x20\p{Lu}\p{Ll}+\x20\p{Lu}\p{Ll}{2,}$"), never),
     }[kind]
     gazetteer = {
-        "email": _vote(F.lower(hit).rlike(rf"(?:\.|dot\W*)(?:{'|'.join(DOMAINS.split())})$"), hit.rlike(r"[0-9]$")),
+        "email": _vote(F.lower(hit).rlike(rf"(?:\.|dot\W*)(?:{COUNTRY}|{'|'.join(DOMAINS.split())})$"), hit.rlike(r"[0-9]$")),
         "ip": _vote(never, hit.rlike(r"^(?:0|10|127|192\.168)\.")),
         "card": _vote(hit.rlike("^(?:4|5[1-5]|3[47]|6011)"), never),
-        "phone": _vote(hit.rlike(r"^\+(?:1|33|34|44|49)\b"), never),
+        "phone": _vote(hit.rlike(rf"^\+(?:{'|'.join(CALLING_CODES.split())})\b"), never),
         "id": _vote(never, hit.rlike("^(?:123-45-6789|111-11-1111)$")),
         "name": _vote(F.lower(hit).rlike(rf"\b(?:{'|'.join(GIVEN_NAMES.split())})\b"), never),
     }[kind]
@@ -171,31 +181,38 @@ def candidates(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.concat(*parts).alias("found"))
 
 
-def estimated(patterns: list[tuple[tuple, int]], rounds: int = ROUNDS) -> tuple[list[float], list[tuple[float, float]]]:
-    """Expectation maximisation over vote patterns and their counts.
+def estimated(patterns: list[tuple[int, tuple, int]], rounds: int = ROUNDS) -> tuple[list[float], dict[int, list[list[tuple[float, float]]]]]:
+    """Expectation maximisation over patterns of (kind, votes, count).
 
-    Returns the probability that each pattern is personal data, and each labeler's shares of votes
-    for 1 on personal and on other spans.
+    Returns the probability that each pattern is personal data, and for each kind and labeler the shares on personal
+    and on other spans of its three outcomes: 0, 1, and abstaining. Abstaining says something too: a labeler that
+    only ever votes 1 tells most by the share of spans it votes on. Each kind has its own rates, as a labeler
+    that knows nothing of a kind always abstains there, and that must not weigh on the others.
     """
-    chance = [0.5 if not any(v is not None for v in p) else sum(v or 0 for v in p) / sum(v is not None for v in p) for p, _ in patterns]
-    rates = [(0.8, 0.2)] * LABELERS
+    chance = []
+    for _, votes_of, _ in patterns:
+        cast = [v for v in votes_of if v is not None]
+        chance.append((sum(cast) + 0.5) / (len(cast) + 1))
+    rates: dict[int, list[list[tuple[float, float]]]] = {}
     for _ in range(rounds):
-        total = sum(n for _, n in patterns)
-        prior = (sum(c * n for c, (_, n) in zip(chance, patterns, strict=True)) + 1) / (total + 2)
-        rates = []
-        for j in range(LABELERS):
-            sums = [[4.0, 1.0], [1.0, 4.0]]  # a labeler is assumed better than chance until the votes say otherwise
-            for c, (p, n) in zip(chance, patterns, strict=True):
-                if p[j] is not None:
-                    sums[0][0 if p[j] else 1] += c * n
-                    sums[1][0 if p[j] else 1] += (1 - c) * n
-            rates.append((sums[0][0] / sum(sums[0]), sums[1][0] / sum(sums[1])))
+        rates, prior = {}, {}
+        for kind in {k for k, _, _ in patterns}:
+            mine = [(c, v, n) for c, (k, v, n) in zip(chance, patterns, strict=True) if k == kind]
+            on, off = sum(c * n for c, _, n in mine) + 1, sum((1 - c) * n for c, _, n in mine) + 1
+            prior[kind], rates[kind] = on / (on + off), []
+            for j in range(LABELERS):
+                # a labeler is assumed better than chance until the votes say otherwise
+                sums = {0: [1.0, 4.0], 1: [4.0, 1.0], None: [2.5, 2.5]}
+                for c, v, n in mine:
+                    sums[v[j]][0] += c * n
+                    sums[v[j]][1] += (1 - c) * n
+                totals = [sum(x[side] for x in sums.values()) for side in (0, 1)]
+                rates[kind].append([(sums[o][0] / totals[0], sums[o][1] / totals[1]) for o in (0, 1, None)])
         chance = []
-        for p, _ in patterns:
-            odds = math.log(prior / (1 - prior))
-            for v, (on, off) in zip(p, rates, strict=True):
-                if v is not None:
-                    odds += math.log((on if v else 1 - on) / (off if v else 1 - off))
+        for kind, votes_of, _ in patterns:
+            odds = math.log(prior[kind] / (1 - prior[kind]))
+            for v, outcomes in zip(votes_of, rates[kind], strict=True):
+                odds += math.log(outcomes[2 if v is None else v][0] / outcomes[2 if v is None else v][1])
             chance.append(1 / (1 + math.exp(-max(-30.0, min(30.0, odds)))))
     return chance, rates
 
@@ -214,11 +231,11 @@ def classifier(rows: list[tuple[list, int, int, int]], rounds: int = 300) -> lis
     rows: votes, kind, length and count of each feature pattern.
     """
     by_votes: dict[tuple, int] = {}
-    for v, _, _, n in rows:
-        by_votes[tuple(v)] = by_votes.get(tuple(v), 0) + n
-    patterns = sorted(by_votes.items(), key=str)
-    soft = dict(zip((p for p, _ in patterns), estimated(patterns)[0], strict=True))
-    data = [(_features(v, k, s), soft[tuple(v)], n) for v, k, s, n in sorted(rows, key=str)]
+    for v, kind, _, n in rows:
+        by_votes[kind, tuple(v)] = by_votes.get((kind, tuple(v)), 0) + n
+    patterns = [(*p, n) for p, n in sorted(by_votes.items(), key=str)]
+    soft = {(k, v): c for (k, v, _), c in zip(patterns, estimated(patterns)[0], strict=True)}
+    data = [(_features(v, k, s), soft[k, tuple(v)], n) for v, k, s, n in sorted(rows, key=str)]
     weights, total = [0.0] * len(data[0][0]), sum(n for _, _, n in data)
     memory = [1e-8] * len(weights)
     for _ in range(rounds):

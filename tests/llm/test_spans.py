@@ -84,12 +84,42 @@ def test_expectation_maximisation_finds_the_reliable_labeler():
     merged = {}
     for p, n in good:
         merged[p] = merged.get(p, 0) + n
-    chance, rates = pii.estimated(sorted(merged.items(), key=str), 100)
-    assert rates[0][0] > 0.85 and rates[0][1] < 0.15 and abs(rates[2][0] - rates[2][1]) < 0.1
-    by = dict(zip([p for p, _ in sorted(merged.items(), key=str)], chance, strict=True))
+    patterns = [(3, p, n) for p, n in sorted(merged.items(), key=str)]
+    chance, rates = pii.estimated(patterns, 100)
+    on, off = rates[3][0][1]
+    assert on > 0.85 and off < 0.15 and abs(rates[3][2][1][0] - rates[3][2][1][1]) < 0.1
+    by = {p: c for (_, p, _), c in zip(patterns, chance, strict=True)}
     assert by[(1, 1, 0, None, None, None)] > 0.9 and by[(0, 0, 1, None, None, None)] < 0.1
 
 
+@pytest.mark.parametrize("spans", [200, 2_000_000])
+def test_labelers_that_vote_one_way_only_count_at_any_size(spans):
+    """A cue before 6 in 10 personal spans and 1 in 20 others, a labeler that only speaks against, and one silent on the kind."""
+    patterns = []
+    for truth in (1, 0):
+        for check in (0, 1):
+            for cue in (1, None):
+                for against in (0, None):
+                    n = spans / 2 * (0.9 if check == truth else 0.1)
+                    n *= {(1, 1): 0.6, (1, None): 0.4, (0, 1): 0.05, (0, None): 0.95}[truth, cue]
+                    n *= {(1, 0): 0.02, (1, None): 0.98, (0, 0): 0.4, (0, None): 0.6}[truth, against]
+                    patterns.append(((check, None, None, cue, against, None), n))
+    merged = Counter()
+    for p, n in patterns:
+        merged[p] += n
+    listed = [(3, p, n) for p, n in sorted(merged.items(), key=str)]
+    # another kind, on which the cue always abstains, takes no weight from it
+    listed += [(0, (1, 1, None, None, None, None), spans), (0, (0, 0, None, None, None, None), spans)]
+    chance, rates = pii.estimated(listed, 200)
+    by = {p: c for (k, p, _), c in zip(listed, chance, strict=True) if k == 3}
+    assert by[1, None, None, 1, None, None] > by[1, None, None, None, None, None] + 0.05
+    assert by[0, None, None, 1, None, None] > by[0, None, None, None, None, None] + 0.2
+    assert by[1, None, None, None, None, None] > by[1, None, None, None, 0, None] + 0.2
+    assert rates[0][3][2] == pytest.approx((1, 1), abs=0.05 if spans < 1000 else 1e-4)
+    if spans > 1000:
+        assert rates[3][3][1] == pytest.approx((0.6, 0.05), abs=0.02)
+
+
 def test_luhn(spark):
     rows = spark.createDataFrame([("4111111111111111",), ("4111111111111112",), ("0",), ("18",)], "d string")
     assert [r.ok for r in rows.select(pii.luhn(F.col("d")).alias("ok")).collect()] == [True, False, True, True]
