@@ -159,18 +159,29 @@ def pieces(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     return cut.select("doc_id", "sid", "content", "copy", "size", "block", first.alias("first"), (after - first).alias("words"))
 
 
-def mixed(docs: DataFrame, seed: int = 0, block: int = BLOCK, **targets) -> DataFrame:
-    """Every document's part in the mix: doc_id, size, source_size, target, taken; one row per input row."""
+def mixed(docs: DataFrame, seed: int = 0, block: int = BLOCK, shard: int = SHARD, **targets) -> DataFrame:
+    """Every document's part in the mix: doc_id, size, source_size, target, taken; one row per input row.
+
+    Where the output has it follows: in how many slots (n_slots), from which shard to which (first_shard, last_shard),
+    and a digest of its pieces' slots (slots_digest), 0 for a document that isn't taken. All four fold
+    before they move, so a document of any length is one row of sums.
+    """
     layout = laid_out(docs, seed, block, **targets)
     rows = store(layout.rows)
-    times = slots(layout.sources, seed).groupBy("sid", "block").agg(F.count("*").alias("times"))
+    drawn = slots(layout.sources, seed, shard).select("sid", "block", "slot", "shard")
     # the draws unfold from a small table, whose size says nothing about theirs: never broadcast them
-    joined = pieces(rows, block).join(times.hint("merge"), ["sid", "block"])
-    taken = joined.groupBy("doc_id", "sid", "content", "copy").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    taken = taken.select(F.col("doc_id").alias("__id"), F.col("sid").alias("__sid"), F.col("content").alias("__content"), F.col("copy").alias("__copy"), "taken")
+    joined = pieces(rows, block).join(drawn.hint("merge"), ["sid", "block"])
+    sums = {
+        "taken": F.sum("words"), "n_slots": F.count("*"), "first_shard": F.min("shard"), "last_shard": F.max("shard"),
+        "slots_digest": F.bit_xor(F.xxhash64("slot", "first", "words")),
+    }
+    taken = joined.groupBy("doc_id", "sid", "content", "copy").agg(*(e.alias(name) for name, e in sums.items()))
+    taken = taken.select(F.col("doc_id").alias("__id"), F.col("sid").alias("__sid"), F.col("content").alias("__content"), F.col("copy").alias("__copy"), *sums)
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("sid") == F.col("__sid")) & (F.col("content") == F.col("__content")) & (F.col("copy") == F.col("__copy"))
     whole = rows.join(taken.hint("merge"), same, "left").join(layout.sources.select(F.col("sid").alias("__number"), "source_size", "target"), F.col("sid") == F.col("__number"))
-    return whole.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+    none = F.lit(0).cast("long")
+    counted = [F.coalesce(c, none).alias(c) for c in ("taken", "n_slots")]
+    return whole.select("doc_id", "size", "source_size", "target", *counted, "first_shard", "last_shard", F.coalesce("slots_digest", none).alias("slots_digest"))
 
 
 def mixed_documents(docs: DataFrame, seed: int = 0, block: int = BLOCK, **targets) -> DataFrame:

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -90,6 +91,38 @@ def test_small_sources_meet_targets(spark):
         assert taken[s] == 2 * n if wanted[s] == 2 * n else abs(taken[s] - wanted[s]) <= mixing.BLOCK / 2, s
 
 
+def test_slots_and_shards_reach_the_documents(spark):
+    """Each document's slots and shards against its words' blocks, one by one; shards hold each source by its share."""
+    pick = random.Random(5)
+    rows = [(k, "abc"[k % 7 % 3], " ".join(["w"] * pick.choice([0, 3, 40, 130, 700]))) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    layout = mixing.laid_out(docs)
+    drawn = mixing.slots(layout.sources, shard=64)
+    of = defaultdict(list)
+    listed = drawn.collect()
+    for r in listed:
+        of[r.sid, r.block].append((r.slot, r.shard))
+    assert sorted(r.slot for r in listed) == list(range(len(listed))) and all(r.shard == r.slot // 64 for r in listed)
+    starts = {r.doc_id: (r.sid, r.start, r.size) for r in layout.rows.collect()}
+    found = {r.doc_id: r for r in mixing.mixed(docs, shard=64).collect()}
+    for doc_id, (sid, start, size) in starts.items():
+        taken = [s for at in range(start, start + size) for s in of.get((sid, at // 64), [])]
+        slots = set(taken)
+        r = found[doc_id]
+        assert (r.taken, r.n_slots) == (len(taken), len(slots))
+        assert (r.first_shard, r.last_shard) == ((min(s[1] for s in slots), max(s[1] for s in slots)) if slots else (None, None))
+        assert (r.slots_digest == 0) == (not slots)
+    counts = defaultdict(dict)
+    for r in mixing.shard_counts(drawn).collect():
+        counts[r.shard][r.sid] = r.slots
+    draws = {r.sid: r.draws for r in layout.sources.collect()}
+    full = [c for n, c in counts.items() if n < len(listed) // 64]
+    assert len(full) > 3 and all(sum(c.values()) == 64 for c in full)
+    for sid, n in draws.items():
+        share = n / len(listed)
+        assert all(abs(c.get(sid, 0) - 64 * share) <= 5 * (64 * share * (1 - share)) ** 0.5 + 1 for c in full)
+
+
 def test_permutation_is_one(spark):
     from pyspark.sql import functions as F
 
