@@ -2,12 +2,13 @@
 
 A text is split into words by the tokenizer's pattern. Each word becomes an array of byte tokens, and a
 fold applies merges in rank order: the adjacent pair with the lowest rank, the leftmost of equals,
-becomes one token, until no pair has a rank. Ranks come from a literal map in the form of two arrays
-(built once on the driver), so that a look-up is two array reads.
+becomes one token, until no pair has a rank. Ranks come from a constant map in the form of two arrays
+(built once on the driver), so that a look-up is two array reads. The map is stored as one row, which a
+scalar subquery puts into the query as a constant.
 Decoding concatenates the tokens' binary pieces.
 
 The words folded first are the most frequent distinct words of a sample: CACHED words of about SAMPLE documents at
-most become a second literal map from word to tokens. It saves folds and changes no result; every
+most become a second constant map from word to tokens. It saves folds and changes no result; every
 other word is folded where it stands. Nothing is shuffled per document.
 
 Defined cases: null text counts as empty and has no tokens; its decoded bytes are empty. Any length is
@@ -18,24 +19,25 @@ from __future__ import annotations
 
 import base64
 import json
-import random
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plaintlens.llm.common import drop, store, text_of
 
-#: Words in the literal word map, at most, and documents they are counted in, about.
-CACHED = 80_000
-SAMPLE = 8_000
+#: Words in the word map, at most, and documents they are counted in, about.
+CACHED = 400_000
+SAMPLE = 60_000
 #: Bits of a token id in a map entry.
 BITS = 17
+TOKEN = (1 << BITS) - 1
 #: The rank of a pair that doesn't merge.
 NEVER = 1 << BITS
+#: Where the rank starts in the state of a fold: above the token and the place of its first byte.
+RANK = 45
 #: An empty place of the rank map: never less than NEVER, whatever the left token.
 NOTHING = 1 << 34
 #: What Unicode calls white space, for a character class; fixed values.
@@ -48,32 +50,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def _joined(values: pa.Array) -> str:
-    """The values, null where there is none, with commas between."""
-    filled = pc.fill_null(values.cast(pa.string()), "null")
-    whole = pa.ListArray.from_arrays(pa.array([0, len(filled)], pa.int32()), filled)
-    return pc.binary_join(whole, ",")[0].as_py()
-
-
-def _two_places(one: np.ndarray, two: np.ndarray, size: int) -> list[int]:
-    """The entry in each place of a table, or -1: every entry is in one of its two places.
-
-    Entries that find no place are left out.
-    """
-    table, pick = [-1] * size, random.Random(0)
-    for entry in range(len(one)):
-        moving = entry
-        for _ in range(500):
-            both = int(one[moving]), int(two[moving])
-            free = [p for p in both if table[p] < 0]
-            place = free[0] if free else pick.choice(both)
-            moving, table[place] = table[place], moving
-            if moving < 0:
-                break
-    return table
-
-
-def pair_table(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
+def pair_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     """The rank map of token pairs, as first place of each left token, and a flat table.
 
     The pair (left, right) is at the left token's first place plus right, where left and the merged token are
@@ -87,8 +64,8 @@ def pair_table(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
             if left is not None and right is not None:
                 rows.setdefault(left, []).append((right, rank))
     size = max(ranks.values()) + 1
-    first, taken = [0] * size, np.zeros(8 * size, bool)
-    placed: list[tuple[int, int]] = []
+    first, taken = np.zeros(size, np.int32), np.zeros(8 * size, bool)
+    flat = np.full(len(taken), NOTHING)
     reached: dict[int, int] = {}  # a row starts where the last one of about its length found room
     for left, row in sorted(rows.items(), key=lambda item: -len(item[1])):
         rights = np.array([right for right, _ in row])
@@ -96,24 +73,20 @@ def pair_table(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
         while True:
             offsets = np.arange(offset, offset + 256)
             if offsets[-1] + size > len(taken):
-                taken = np.concatenate([taken, np.zeros(len(taken), bool)])
+                taken, flat = np.concatenate([taken, np.zeros(len(taken), bool)]), np.concatenate([flat, np.full(len(flat), NOTHING)])
             free = np.flatnonzero(~taken[offsets[:, None] + rights].any(1))
             if len(free):
                 break
             offset += 256
-        first[left] = int(offsets[free[0]])
-        reached[len(row) // 8] = first[left]
+        first[left] = reached[len(row) // 8] = int(offsets[free[0]])
         taken[first[left] + rights] = True
-        placed += [(first[left] + right, (left << BITS) | rank) for right, rank in row]
-    flat = [NOTHING] * (max([first[left] for left in rows] + [0]) + size)
-    for place, entry in placed:
-        flat[place] = entry
-    return first, flat
+        flat[first[left] + rights] = [(left << BITS) | rank for _, rank in row]
+    return first, flat[: int(first.max()) + size]
 
 
 @dataclass
 class Tokenizer:
-    """Rank map and pattern; words is the literal word map, empty until `with_cache`."""
+    """Rank map and pattern; the word map beside the rank map is empty until `with_cache`."""
 
     ranks: dict[bytes, int]
     pattern: str
@@ -127,52 +100,68 @@ class Tokenizer:
         # the pattern's white space is Unicode's, the engine's is ASCII's
         split = self.pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"[\s", f"[{WHITE}")
         self.split = split.replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]")
-        self.slots, self.words = 1, '"words":[null],"ids":[null]'
+        self.slots, self.maps = 1, None
 
     # ---- expressions
 
-    def _maps(self, words: bool = True) -> Column:
-        """The literal maps as one value; the word map only if asked for."""
-        pairs = json.dumps({"first": self.first, "flat": self.flat, "bytes": self.bytes}, separators=(",", ":"))
-        kind = "first: array<int>, flat: array<long>, bytes: array<long>" + ", words: array<string>, ids: array<array<int>>" * words
-        return F.from_json(F.lit(pairs[:-1] + "," + self.words + "}" if words else pairs), f"struct<{kind}>")
-
-    def _rank(self, maps: Column, left: Column, right: Column) -> Column:
-        """The rank of a pair, or NEVER or more: the table's entry less its left token, if that is this one."""
-        entry = F.get(maps["flat"], F.get(maps["first"], left) + right)
-        return entry.bitwiseXOR(F.shiftleft(left, BITS))
+    def literal(self, spark: SparkSession) -> Column:
+        """The maps as one constant value: a scalar subquery over their stored row.
+
+        Spark reads the row once for each query and sends it to the tasks as it is, without a text form in the
+        plan. A subquery can't stand in a higher-order function: select it as a column, and use that in the next select.
+        """
+        if self.maps is None:
+            none = F.lit(None)
+            pairs = {"first": pa.array(self.first), "flat": pa.array(self.flat), "bytes": pa.array(self.bytes, pa.int64())}
+            row = spark.createDataFrame(pa.table({n: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for n, v in pairs.items()}))
+            self.maps = store(row.select("*", F.array(none.cast("string")).alias("words"), F.array(none.cast("array<int>")).alias("ids")))
+        return self.maps.select(F.struct(*self.maps.columns)).scalar()
+
+    def _entry(self, maps: Column, left: Column, right: Column) -> Column:
+        """The place and token of left, with the rank of its pair with right above them.
+
+        The rank is the table's entry less its left token, if that is this one, and NEVER otherwise.
+        """
+        token = left.bitwiseAND(F.lit(TOKEN))
+        entry = F.get(maps["flat"], F.get(maps["first"], token) + right.bitwiseAND(F.lit(TOKEN)))
+        rank = F.least(entry.bitwiseXOR(F.shiftleft(token, BITS)), F.lit(NEVER))
+        return F.when(right.isNull(), left.bitwiseOR(F.lit(NEVER << RANK))).otherwise(F.shiftleft(rank, RANK).bitwiseOR(left))
 
     def folded(self, maps: Column, word: Column) -> Column:
-        """Tokens of one word by ranked merges."""
+        """Tokens of one word by ranked merges.
+
+        The state is one number for each token: the rank of its pair with the next, the place of its first byte, and
+        the token itself, so that the least number is the pair to merge.
+        """
         characters = F.split(F.decode(word.cast("binary"), "ISO-8859-1"), "")
-        parts = F.transform(characters, lambda c: F.get(maps["bytes"], F.ascii(c)))
+        placed = F.transform(characters, lambda c, i: F.shiftleft(i.cast("long"), BITS).bitwiseOR(F.get(maps["bytes"], F.ascii(c))))
         size = F.octet_length(word)
+        low = F.lit((1 << RANK) - 1)
 
         def start(parts: Column) -> Column:
-            pairs = F.zip_with(F.slice(parts, F.lit(1), size - 1), F.slice(parts, F.lit(2), size - 1), lambda a, b: self._rank(maps, a, b))
-            return F.struct(parts.alias("parts"), pairs.alias("ranks"))
+            return F.zip_with(parts, F.slice(parts, F.lit(2), size), lambda a, b: self._entry(maps, a, b))
 
         def merge(state: Column, _: Column) -> Column:
             def at(least: Column) -> Column:
                 def put(p: Column) -> Column:
-                    parts, ranks, count = state["parts"], state["ranks"], F.size(state["parts"])
-                    none = F.slice(ranks, F.lit(1), F.lit(0))
-                    before = F.when(p > 1, F.array(self._rank(maps, F.get(parts, p - 2), least))).otherwise(none)
-                    after = F.when(p + 2 <= count, F.array(self._rank(maps, least, F.get(parts, p + 1)))).otherwise(none)
-                    return F.struct(
-                        F.concat(F.slice(parts, F.lit(1), p - 1), F.array(least), F.slice(parts, p + 2, count)).alias("parts"),
-                        F.concat(F.slice(ranks, F.lit(1), F.greatest(p - 2, F.lit(0))), before, after, F.slice(ranks, p + 2, count)).alias("ranks"),
-                    )
+                    merged = least.bitwiseAND(F.lit((1 << RANK) - 1 - TOKEN)).bitwiseOR(F.shiftright(least, RANK))
+                    new = self._entry(maps, merged, F.get(state, p + 1))
+                    both = F.when(p > 1, F.array(self._entry(maps, F.get(state, p - 2).bitwiseAND(low), merged), new)).otherwise(F.array(new))
+                    # flatten, as concat of arrays is several times slower
+                    return F.flatten(F.array(F.slice(state, F.lit(1), F.greatest(p - 2, F.lit(0))), both, F.slice(state, p + 2, size)))
 
-                return _let(F.array_position(state["ranks"], least).cast("int"), put)
+                # counted, as array_position leaves its loop by an exception
+                place = F.lit((1 << RANK) - 1 - TOKEN)
+                return _let(F.size(F.filter(state, lambda part: part.bitwiseAND(place) <= least.bitwiseAND(place))), put)
 
-            return _let(F.array_min(state["ranks"]), lambda least: F.when(least < NEVER, at(least)).otherwise(state))
+            return _let(F.array_min(state), lambda least: F.when(least < F.lit(NEVER << RANK), at(least)).otherwise(state))
 
         turns = F.slice(F.sequence(F.lit(1), size), F.lit(1), size - 1)
-        return _let(parts, lambda p: F.aggregate(turns, start(p), merge, lambda s: s["parts"])).cast("array<int>")
+        parts = _let(placed, lambda p: F.aggregate(turns, start(p), merge))
+        return F.transform(parts, lambda part: part.bitwiseAND(F.lit(TOKEN)).cast("int"))
 
-    def encoded(self, text: Column) -> Column:
-        """Token ids of a text."""
+    def encoded(self, text: Column, maps: Column) -> Column:
+        """Token ids of a text; maps is a column selected as `literal`."""
         words = F.regexp_extract_all(text, F.lit(self.split), F.lit(0))
 
         def tokens(maps: Column, word: Column) -> Column:
@@ -182,7 +171,7 @@ class Tokenizer:
                 out = F.when(F.get(maps["words"], place) == word, F.get(maps["ids"], place)).otherwise(out)
             return out
 
-        return _let(self._maps(), lambda maps: F.flatten(F.transform(words, lambda w: tokens(maps, w))))
+        return _let(maps, lambda maps: F.flatten(F.transform(words, lambda w: tokens(maps, w))))
 
     def decoded(self, ids: Column) -> Column:
         """The bytes of token ids."""
@@ -199,21 +188,21 @@ class Tokenizer:
 
     def with_cache(self, docs: DataFrame, cached: int = CACHED, sample: int = SAMPLE) -> Tokenizer:
         """This tokenizer with the most frequent words of a bounded sample of docs folded beforehand."""
-        share = sample / max(1, docs.count())
+        spark, share = docs.sparkSession, sample / max(1, docs.count())
         some = docs.select("text") if share >= 1 else docs.select("text").sample(share, seed=0)
         words = F.regexp_extract_all(text_of("text"), F.lit(self.split), F.lit(0))
         counted = some.select(F.explode(words).alias("word")).groupBy("word").count()
-        often = store(counted.where("count > 1").orderBy(F.desc("count"), "word").limit(cached).select("word"))
-        self.slots = 1 << (2 * often.count()).bit_length()
-        places = [F.pmod(hashed("word"), F.lit(self.slots)).alias(n) for n, hashed in (("one", F.hash), ("two", F.xxhash64))]
-        ids = _let(self._maps(words=False), lambda maps: self.folded(maps, F.col("word")))
-        # JSON texts of words and ids, joined outside Python, so that the driver holds no object for each of them
-        shown = [F.expr("substring(to_json(array(word)), 2, length(to_json(array(word))) - 2)").alias("shown"), ids.cast("string").alias("ids")]
-        rows = often.repartition(2 * often.sparkSession.sparkContext.defaultParallelism).select(*places, *shown).toArrow()
-        table = np.array(_two_places(rows["one"].to_numpy(), rows["two"].to_numpy(), self.slots), np.int64)
-        entry = pa.array(table, mask=table < 0)
-        shown_words, shown_ids = (_joined(rows[c].combine_chunks().take(entry)) for c in ("shown", "ids"))
-        self.words = f'"words":[{shown_words}],"ids":[{shown_ids}]'
+        often = store(counted.where("count > 1").orderBy(F.desc("count"), "word").limit(cached))
+        slots = 3 * often.count() + 1
+        spread = often.repartition(2 * spark.sparkContext.defaultParallelism).select("*", self.literal(spark).alias("maps"))
+        ids = _let(F.col("maps"), lambda maps: self.folded(maps, F.col("word")))
+        # each place has one word: the most frequent of those that it is the first place of, else of the others
+        places = [F.struct(F.pmod(hashed("word"), F.lit(slots)).cast("long").alias("place"), F.lit(k).alias("turn")) for k, hashed in enumerate((F.hash, F.xxhash64))]
+        tried = spread.select("word", "count", ids.alias("ids")).select("*", F.inline(F.array(*places)))
+        best = tried.groupBy("place").agg(F.min_by(F.struct("word", "ids"), F.struct("turn", -F.col("count"), "word")).alias("entry"))
+        every = spark.range(slots).join(best, F.col("id") == F.col("place"), "left").select("id", "entry.*")
+        table = every.agg(F.array_sort(F.collect_list(F.struct("id", "word", "ids"))).alias("t")).select(F.col("t.word").alias("words"), F.col("t.ids").alias("ids"))
+        self.maps, self.slots = store(self.maps.drop("words", "ids").crossJoin(table)), slots
         drop(often)
         return self
 
@@ -229,7 +218,9 @@ MADE = ("token_ids", "n_tokens", "ids_sha256", "decoded_sha256")
 def encode(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """docs with a column token_ids in place of text; columns named like those made here give way."""
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", *MADE)]
-    return docs.select(*others, tokenizer.encoded(text_of("text")).alias("token_ids"))
+    maps = tokenizer.literal(docs.sparkSession)
+    both = docs.select(*others, text_of("text").alias("text"), maps.alias("token_ids"))
+    return both.select(*others, tokenizer.encoded(F.col("text"), F.col("token_ids")).alias("token_ids"))
 
 
 def tokenised(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:

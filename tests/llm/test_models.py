@@ -177,6 +177,17 @@ def test_tokens_of_empty_tables_and_other_columns(nothing, clashing, tokenizer):
     assert made.count() == len(awkward_rows())
 
 
+def test_the_maps_are_one_constant_outside_the_plan_text(spark, corpus, reference):
+    own = queries.tokenizer().with_cache(corpus, 3000, 1000)
+    plan = bpe.encode(corpus.select("doc_id", "text"), own)._jdf.queryExecution().executedPlan().toString()
+    # the subquery stands in the expression itself: no row carries the maps
+    assert "transform(array(Subquery" in plan and len(plan) < 100_000
+    row = own.maps.first()
+    held = {w: list(i) for w, i in zip(row.words, row.ids, strict=True) if w is not None}
+    assert len(row.words) == own.slots and 2700 < len(held) <= 3000
+    assert all(ids == reference.encode_ordinary(word) for word, ids in held.items())
+
+
 # ---- toxicity
 
 
