@@ -18,7 +18,6 @@ encoded whole. Repeated rows are encoded alike, empty tables give empty results,
 from __future__ import annotations
 
 import base64
-import json
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +33,8 @@ SAMPLE = 60_000
 #: Bits of a token id in a map entry.
 BITS = 17
 TOKEN = (1 << BITS) - 1
+#: Columns that `tokenised` makes.
+MADE = ("token_ids", "n_tokens", "ids_sha256", "decoded_sha256")
 #: The rank of a pair that doesn't merge.
 NEVER = 1 << BITS
 #: Where the rank starts in the state of a fold: above the token and the place of its first byte.
@@ -93,10 +94,14 @@ class Tokenizer:
 
     def __post_init__(self) -> None:
         self.first, self.flat = pair_table(self.ranks)
-        self.bytes = [self.ranks[bytes([b])] for b in range(256)]
+        # of each byte and the next one, and of each byte without a next one: the byte's token, below the rank of the pair
+        single = [self.ranks[bytes([b])] for b in range(256)]
+        self.start = [(self.ranks.get(bytes([a, b]), NEVER) << RANK) | single[a] for a in range(256) for b in range(256)]
+        self.start += [(NEVER << RANK) | token for token in single]
         self.pieces = [""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.pieces[rank] = token.hex()
+        self.little = [rank.to_bytes(4, "little").hex() for rank in range(len(self.pieces))]
         # the pattern's white space is Unicode's, the engine's is ASCII's
         split = self.pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"[\s", f"[{WHITE}")
         self.split = split.replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]")
@@ -112,8 +117,8 @@ class Tokenizer:
         """
         if self.maps is None:
             none = F.lit(None)
-            pairs = {"first": pa.array(self.first), "flat": pa.array(self.flat), "bytes": pa.array(self.bytes, pa.int64())}
-            row = spark.createDataFrame(pa.table({n: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for n, v in pairs.items()}))
+            fixed = {n: pa.array(getattr(self, n)) for n in ("first", "flat", "start", "pieces", "little")}
+            row = spark.createDataFrame(pa.table({n: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for n, v in fixed.items()}))
             self.maps = store(row.select("*", F.array(none.cast("string")).alias("words"), F.array(none.cast("array<int>")).alias("ids")))
         return self.maps.select(F.struct(*self.maps.columns)).scalar()
 
@@ -134,12 +139,16 @@ class Tokenizer:
         the token itself, so that the least number is the pair to merge.
         """
         characters = F.split(F.decode(word.cast("binary"), "ISO-8859-1"), "")
-        placed = F.transform(characters, lambda c, i: F.shiftleft(i.cast("long"), BITS).bitwiseOR(F.get(maps["bytes"], F.ascii(c))))
+        codes = F.transform(characters, F.ascii)
         size = F.octet_length(word)
         low = F.lit((1 << RANK) - 1)
 
-        def start(parts: Column) -> Column:
-            return F.zip_with(parts, F.slice(parts, F.lit(2), size), lambda a, b: self._entry(maps, a, b))
+        def start(codes: Column) -> Column:
+            def entry(code: Column, i: Column) -> Column:
+                row = F.coalesce(F.shiftleft(code, 8).bitwiseOR(F.get(codes, i + 1)), code + F.lit(1 << 16))
+                return F.get(maps["start"], row).bitwiseOR(F.shiftleft(i.cast("long"), BITS))
+
+            return F.transform(codes, entry)
 
         def merge(state: Column, _: Column) -> Column:
             def at(least: Column) -> Column:
@@ -157,32 +166,42 @@ class Tokenizer:
             return _let(F.array_min(state), lambda least: F.when(least < F.lit(NEVER << RANK), at(least)).otherwise(state))
 
         turns = F.slice(F.sequence(F.lit(1), size), F.lit(1), size - 1)
-        parts = _let(placed, lambda p: F.aggregate(turns, start(p), merge))
+        parts = _let(codes, lambda c: F.aggregate(turns, start(c), merge))
         return F.transform(parts, lambda part: part.bitwiseAND(F.lit(TOKEN)).cast("int"))
 
-    def encoded(self, text: Column, maps: Column) -> Column:
-        """Token ids of a text; maps is a column selected as `literal`."""
+    def _encoded(self, text: Column, maps: Column) -> Column:
         words = F.regexp_extract_all(text, F.lit(self.split), F.lit(0))
 
-        def tokens(maps: Column, word: Column) -> Column:
+        def tokens(word: Column, cached: Column, ids: Column) -> Column:
             out = self.folded(maps, word)
             for hashed in (F.xxhash64, F.hash):  # most cached words are in their first place, by hash
                 place = F.pmod(hashed(word), F.lit(self.slots))
-                out = F.when(F.get(maps["words"], place) == word, F.get(maps["ids"], place)).otherwise(out)
+                out = F.when(F.get(cached, place) == word, F.get(ids, place)).otherwise(out)
             return out
 
-        return _let(maps, lambda maps: F.flatten(F.transform(words, lambda w: tokens(maps, w))))
+        # the maps' fields are bound once, as reading one makes an object
+        return _let(maps["words"], lambda cached: _let(maps["ids"], lambda ids: F.flatten(F.transform(words, lambda w: tokens(w, cached, ids)))))
+
+    def encoded(self, text: Column, maps: Column) -> Column:
+        """Token ids of a text; maps is a column selected as `literal`."""
+        return _let(maps, lambda maps: self._encoded(text, maps))
+
+    def digested(self, text: Column, maps: Column) -> Column:
+        """Token ids of a text, their number, and digests as one struct; maps is a column selected as `literal`."""
 
-    def decoded(self, ids: Column) -> Column:
+        def parts(maps: Column, ids: Column) -> Column:
+            digests = [F.sha2(of(ids, maps), 256) for of in (self.packed, self.decoded)]
+            return F.struct(*(c.alias(n) for n, c in zip(MADE, (ids, F.size(ids).cast("long"), *digests), strict=True)))
+
+        return _let(maps, lambda maps: _let(self._encoded(text, maps), lambda ids: parts(maps, ids)))
+
+    def decoded(self, ids: Column, maps: Column) -> Column:
         """The bytes of token ids."""
-        pieces = F.from_json(F.lit(json.dumps(self.pieces, separators=(",", ":"))), "array<string>")
-        return F.unhex(_let(pieces, lambda p: F.array_join(F.transform(ids, lambda i: F.get(p, i)), "")))
+        return F.unhex(_let(maps["pieces"], lambda p: F.array_join(F.transform(ids, lambda i: F.get(p, i)), "")))
 
-    def packed(self, ids: Column) -> Column:
+    def packed(self, ids: Column, maps: Column) -> Column:
         """Token ids as little-endian unsigned 32-bit integers."""
-        words = ",".join(f'"{rank.to_bytes(4, "little").hex()}"' for rank in range(len(self.pieces)))
-        literal = F.from_json(F.lit(f"[{words}]"), "array<string>")
-        return F.unhex(_let(literal, lambda w: F.array_join(F.transform(ids, lambda i: F.get(w, i)), "")))
+        return F.unhex(_let(maps["little"], lambda p: F.array_join(F.transform(ids, lambda i: F.get(p, i)), "")))
 
     # ---- frames
 
@@ -212,23 +231,21 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-MADE = ("token_ids", "n_tokens", "ids_sha256", "decoded_sha256")
+def _with_maps(docs: DataFrame, tokenizer: Tokenizer) -> tuple[list[Column], DataFrame]:
+    """The columns that pass through, and docs as these, the text, and the maps as token_ids."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", *MADE)]
+    maps = tokenizer.literal(docs.sparkSession)
+    return others, docs.select(*others, text_of("text").alias("text"), maps.alias("token_ids"))
 
 
 def encode(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """docs with a column token_ids in place of text; columns named like those made here give way."""
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", *MADE)]
-    maps = tokenizer.literal(docs.sparkSession)
-    both = docs.select(*others, text_of("text").alias("text"), maps.alias("token_ids"))
+    others, both = _with_maps(docs, tokenizer)
     return both.select(*others, tokenizer.encoded(F.col("text"), F.col("token_ids")).alias("token_ids"))
 
 
 def tokenised(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """encode, with n_tokens and SHA-256 of the packed ids and of the bytes decoded from them."""
-    ids = F.col("token_ids")
-    return encode(docs, tokenizer).select(
-        "*",
-        F.size(ids).cast("long").alias("n_tokens"),
-        F.sha2(tokenizer.packed(ids), 256).alias("ids_sha256"),
-        F.sha2(tokenizer.decoded(ids), 256).alias("decoded_sha256"),
-    )
+    others, both = _with_maps(docs, tokenizer)
+    made = both.select(*others, tokenizer.digested(F.col("text"), F.col("token_ids")).alias("token_ids"))
+    return made.select(*others, *(F.col("token_ids")[name].alias(name) for name in MADE))

@@ -188,6 +188,14 @@ def test_the_maps_are_one_constant_outside_the_plan_text(spark, corpus, referenc
     assert all(ids == reference.encode_ordinary(word) for word, ids in held.items())
 
 
+def test_no_table_of_the_tokenizer_stands_in_the_plan(corpus):
+    made = bpe.tokenised(corpus.select("doc_id", "text"), queries.tokenizer())
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    # every map is read once, in one expression, and no row carries it
+    assert "transform(array(Subquery" in plan and len(plan) < 100_000
+    assert all("array<" not in f.dataType.simpleString() or f.name == "token_ids" for f in made.schema)
+
+
 # ---- toxicity
 
 
